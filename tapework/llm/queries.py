@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapework.llm import chat, decontaminate, packing, spotsigs
+from tapework.llm import chat, decontaminate, htmltext, language, licenses, packing, secrets, spotsigs
 from tapework.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,13 +20,29 @@ def op3_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotation_report(table(spark, sf_dir, "conversations"))
 
 
+def op4_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 def op5_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+def op8_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op10_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_spotsigs, op3_rotation, op5_prefix_join, op10_certified_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_spotsigs, op3_rotation, op4_byte_network, op5_prefix_join, op6_text_density, op7_secret_forest, op8_license_automaton, op10_certified_packing)}
 ORACLES: dict[str, str] = {"op3_rotation": chat.ROTATION_SQL, "op5_prefix_join": decontaminate.CONTAMINATION_SQL}
