@@ -31,6 +31,8 @@ def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.options(**(options or {})).parquet(path)
+    # Spark drops a finished job's shuffle files once the driver's garbage is collected; without this they pile up until chance does it.
+    spark.sparkContext._jvm.System.gc()
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapework.llm import chat, decontaminate, htmltext, language, licenses, packing, secrets, spotsigs
+from tapework.llm import chat, decontaminate, htmltext, language, licenses, ngramjoin, packing, secrets, spotsigs
 from tapework.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_count_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.linked(table(spark, sf_dir, "documents"))
+
+
 def op3_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotation_report(table(spark, sf_dir, "conversations"))
 
@@ -44,5 +48,5 @@ def op10_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_spotsigs, op3_rotation, op4_byte_network, op5_prefix_join, op6_text_density, op7_secret_forest, op8_license_automaton, op10_certified_packing)}
-ORACLES: dict[str, str] = {"op3_rotation": chat.ROTATION_SQL, "op5_prefix_join": decontaminate.CONTAMINATION_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_spotsigs, op2_count_vectors, op3_rotation, op4_byte_network, op5_prefix_join, op6_text_density, op7_secret_forest, op8_license_automaton, op10_certified_packing)}
+ORACLES: dict[str, str] = {"op2_count_vectors": ngramjoin.JOIN_SQL, "op3_rotation": chat.ROTATION_SQL, "op5_prefix_join": decontaminate.CONTAMINATION_SQL}
