@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapework.llm import chat, decontaminate, htmltext, language, licenses, ngramjoin, packing, secrets, spotsigs
+from tapework.llm import chat, decontaminate, htmltext, language, licenses, ngramjoin, packing, secrets, spotsigs, substrings
 from tapework.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,9 +44,13 @@ def op8_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_report(table(spark, sf_dir, "documents"))
+
+
 def op10_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_spotsigs, op2_count_vectors, op3_rotation, op4_byte_network, op5_prefix_join, op6_text_density, op7_secret_forest, op8_license_automaton, op10_certified_packing)}
-ORACLES: dict[str, str] = {"op2_count_vectors": ngramjoin.JOIN_SQL, "op3_rotation": chat.ROTATION_SQL, "op5_prefix_join": decontaminate.CONTAMINATION_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_spotsigs, op2_count_vectors, op3_rotation, op4_byte_network, op5_prefix_join, op6_text_density, op7_secret_forest, op8_license_automaton, op9_substring_index, op10_certified_packing)}
+ORACLES: dict[str, str] = {"op2_count_vectors": ngramjoin.JOIN_SQL, "op3_rotation": chat.ROTATION_SQL, "op9_substring_index": substrings.SUBSTRING_SQL, "op5_prefix_join": decontaminate.CONTAMINATION_SQL}
