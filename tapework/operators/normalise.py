@@ -44,7 +44,9 @@ def decoded(raw: DataFrame) -> DataFrame:
     rows = F.exists("events", lambda e: _any_table(e, F.col("rules"), F.col("stream")))
     control = F.exists("events", lambda e: F.map_contains_key(e, "result") | F.map_contains_key(e, "code"))
     status = F.when(~F.col("valid"), "parse_error").when(rows, "ok").when(control, "control").otherwise("ignored")
-    return df.withColumn("status", status).drop("__envelope", "__body", "valid")
+    done = df.withColumn("status", status).drop("__envelope", "__body", "valid")
+    # Filters on what is computed here would be moved in front of it and parse the payload again for each mention; they stop at a generator.
+    return done.select(F.inline_outer(F.array(F.struct(*done.columns))))
 
 
 def _matches(table: Table, event: Column, rules: Column, stream: Column) -> Column:
