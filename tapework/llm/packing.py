@@ -167,24 +167,24 @@ def _packed(df: DataFrame, limit: int) -> DataFrame:
 def packed(pieces: DataFrame, limit: int = LIMIT, per_partition: int = PIECES_PER_PARTITION, exchanges: int = EXCHANGES) -> DataFrame:
     """pieces and sequence_id, offset: where each lies. pieces is read more than once: give a stored table.
 
-    Partitions are drawn by a hash of doc_id, text place and checksum with a random salt-free mix, so hot sources spread; equal pieces, of which
-    a third of all rows may consist, spread over `spread` sub-keys. Repeated rows are packed each for itself. An empty table gives none.
+    Pieces are dealt evenly by a hash of their row and place, so neither a hot source nor equal rows meet in one partition. Each exchange packs what partitions
+    gave up in partitions of at most some four times as many pieces. Repeated rows are packed each for itself. An empty table gives none.
     """
     n = pieces.count()
     parts = max(1, round(n / per_partition))
     base = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    # Which of many equal rows goes where does not matter, so they may be dealt round robin.
     dealt = pieces.select(*base, F.pmod(F.xxhash64(*base, F.monotonically_increasing_id()), F.lit(parts)).alias("part"))
     now = stored(_packed(dealt, limit))
     kept = []
     for turn in range(exchanges):
-        parts = max(1, parts // 16)
-        # Partitions that meet their bound are done, and so are full sequences.
-        free = (F.col("gap") > 0) & (F.col("room") > 0)
-        kept.append(now.filter(~free).withColumn("turn", F.lit(turn)))
-        now = stored(_packed(now.filter(free).select(*base, F.pmod(F.col("part"), F.lit(parts)).alias("part")), limit))
-        if parts == 1:
+        # Full sequences are done; so are well filled ones of partitions that meet their bound.
+        free = ((F.col("gap") > 0) & (F.col("room") > 0)) | (F.col("room") > limit // 8)
+        left = now.filter(free).count()
+        if not left or parts == 1:
             break
+        parts = max(1, round(left / (4 * per_partition)))
+        kept.append(now.filter(~free).withColumn("turn", F.lit(turn)))
+        now = stored(_packed(now.filter(free).select(*base, F.pmod(F.xxhash64("part", "bin"), F.lit(parts)).alias("part")), limit))
     result = now.withColumn("turn", F.lit(len(kept)))
     for df in kept:
         result = result.unionByName(df)
