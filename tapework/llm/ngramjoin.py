@@ -25,9 +25,11 @@ SHINGLE, GROUPS = 4, 32
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: More groups for larger sets, so that a group counts about so many shingles at most: else unlike sets look alike.
-PER_GROUP = 31
+PER_GROUP = 8
 #: Points of a leaf; points of a block that one task joins, beyond which blocks are cut and their parts joined pair by pair.
 LEAF, BLOCK = 32, 4_000
+#: Heads of blocks that a set is compared with before blocks are searched; what they leave unlinked, the search finds.
+HEADS = 3
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -245,8 +247,9 @@ def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataF
     points = stored(some.groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.first("point").alias("point")))
     sizes = points.groupBy("rep").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    # First every member of a block against the block's smallest: families of near copies become one component in linear time.
-    stars = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    # First every set against the few heads of blocks that it shares most keys with: families of near copies become components in linear time.
+    heads = members.filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n")).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", (-F.col("pivot")).alias("low"))), asc=False).alias("heads"))
+    stars = heads.select(F.explode(F.transform(F.slice("heads", 1, HEADS), lambda h: -h["low"])).alias("a"), F.col("rep").alias("b"))
     a, b = (sizes.select(F.col("rep").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}")) for x in "ab")
     stars = stars.join(a, "a").join(b, "b").filter(f"100 * most_b >= {percent} * least_a AND 100 * most_a >= {percent} * least_b").select("a", "b")
     near = stored(_bounded(stars, points, percent).distinct())
