@@ -20,7 +20,7 @@ from tapework.llm.common import forget, stored
 from tapework.llm.wordhash import FIRST, SECOND, Words, batches
 
 #: Words of a window, words of a fingerprint inside it, batches, and runs that are compacted into one.
-WINDOW, GRAM, BATCHES, FAN_IN = 20, 8, 2, 2
+WINDOW, GRAM, BATCHES, FAN_IN = 20, 10, 2, 2
 LEAST = -(2**63)
 
 
@@ -123,9 +123,12 @@ class SubstringIndex:
         #: Windows made so far, around every place whose fingerprint was not the only one of its kind.
         self.windows: list[DataFrame] = []
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Indexes a batch (d, h, text), later in order than all before; d, h, starts: its windows that also start earlier."""
-        run = stored(fingerprints(batch, self.window, self.gram).repartition("key").sortWithinPartitions("key", "d", "h", "pos"))
+    def add(self, batch: DataFrame, after: int | None = None) -> DataFrame:
+        """Indexes a batch (d, h, text) of ids above `after`, later in order than all before; d, h, starts: its windows that also start earlier.
+
+        Each file of a new run is sorted by itself; compaction deals them by hash and sorts them into one.
+        """
+        run = stored(fingerprints(batch, self.window, self.gram).sortWithinPartitions("key", "d", "h", "pos"))
         both = run.withColumn("new", F.lit(True))
         for old in self.runs:
             both = both.unionByName(old.filter("pos >= 0").withColumn("new", F.lit(False)))
@@ -142,8 +145,8 @@ class SubstringIndex:
         earliest = single.groupBy("w1", "w2").agg(F.min(F.struct("d", "h", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2", "first")
         later = single.join(earliest, ["w1", "w2"]).filter(F.struct("d", "h", "start") != F.col("first")).select("d", "h", F.array("start").alias("starts"))
         every = later.unionByName(windows.filter("start < 0").select("d", "h", "starts"))
-        mine = run.select("d", "h").distinct()
-        found = stored(every.groupBy("d", "h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts")).join(mine, ["d", "h"]))
+        mine = every if after is None else every.filter(F.col("d") > after)
+        found = stored(mine.groupBy("d", "h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts")))
         self.runs.append(run)
         if len(self.runs) > self.fan_in:
             self._compact()
@@ -183,7 +186,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_batc
         batch = rows.select("d", "h", "text")
         batch = batch if low is None else batch.filter(F.col("d") > low)
         batch = batch if high is None else batch.filter(F.col("d") <= high)
-        new = index.add(batch)
+        new = index.add(batch, low)
         found = new if found is None else found.unionByName(new)
     index.close()
 
