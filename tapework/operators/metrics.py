@@ -7,13 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapework.functions.coerce import floor_hour, human_bytes
-from tapework.operators.normalise import _any_table
+from tapework.operators.normalise import has_table
 from tapework.sources.scans import partition_hour
 
 
 def feed_counters(decoded_rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Messages, records and parse errors, and the latest message time, by market (or other columns, such as a window of received_at)."""
-    records = F.when(F.col("status") == "ok", F.size(F.filter("events", lambda e: _any_table(e, F.col("rules"), F.col("stream"))))).otherwise(0)
+    records = F.when(F.col("status") == "ok", F.size(F.filter("types", has_table))).otherwise(0)
     return decoded_rows.groupBy(*(by or ["market"])).agg(F.count(F.lit(1)).alias("messages"), F.sum(records.cast("bigint")).alias("records"), F.count_if(F.col("status") == "parse_error").alias("parse_errors"), F.max("received_at").alias("latest"))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from tapework.functions.schemas import SCHEMAS, TABLES, Table
 
 EVENT = "map<string,variant>"
 FUTURES = ("usdm", "coinm")
-FUTURES_TYPES = sorted({e for t in TABLES.values() if t.rules == "futures" for e in t.events})
+TYPES = {rules: sorted({e for t in TABLES.values() if t.rules == rules for e in t.events if e}) for rules in ("spot", "futures")}
 
 
 def _type(event: Column) -> Column:
@@ -25,7 +23,7 @@ def _nested_ok(event: Column, key: str) -> Column:
 
 
 def decoded(raw: DataFrame) -> DataFrame:
-    """raw (payload, received_at, market, shard_id) and stream, events (in order), status: ok, control, ignored or parse_error.
+    """raw (payload, received_at, market, shard_id) and stream, events and their types (in order), status: ok, control, ignored or parse_error.
 
     A payload is an event, an array of events, or either under `data` beside its `stream`. One bad element spoils its whole payload. A payload without rows is control
     if it has a result or code, else ignored.
@@ -36,12 +34,13 @@ def decoded(raw: DataFrame) -> DataFrame:
     df = df.withColumns({"__body": body, "stream": F.when(F.col("__envelope.data").isNotNull(), F.coalesce("__envelope.stream", F.lit(""))).otherwise("")})
     many = F.ltrim("__body").startswith("[")
     df = df.withColumn("events", F.when(many, F.from_json("__body", f"array<{EVENT}>")).otherwise(F.array(F.from_json("__body", EVENT))))
-    bad = F.exists("events", lambda e: e.isNull() | ~_nested_ok(e, "k") | ~_nested_ok(e, "o") & (_type(e) == "forceOrder"))
-    valid = F.expr("try_parse_json(payload)").isNotNull() & F.col("events").isNotNull() & ~F.coalesce(bad, F.lit(True))
+    df = df.withColumn("types", F.transform("events", _type))
+    whole = F.forall("events", lambda e: e.isNotNull() & _nested_ok(e, "k") & _nested_ok(e, "o"))
+    valid = F.expr("try_parse_json(payload)").isNotNull() & F.col("events").isNotNull() & whole
     df = df.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    futures = F.col("market").isin(*FUTURES) & F.exists("events", lambda e: _type(e).isin(FUTURES_TYPES))
+    futures = F.col("market").isin(*FUTURES) & F.exists("types", lambda t: t.isin(TYPES["futures"]))
     df = df.withColumn("rules", F.when(F.col("valid") & futures, "futures").otherwise("spot"))
-    rows = F.exists("events", lambda e: _any_table(e, F.col("rules"), F.col("stream")))
+    rows = F.exists("types", has_table)
     control = F.exists("events", lambda e: F.map_contains_key(e, "result") | F.map_contains_key(e, "code"))
     status = F.when(~F.col("valid"), "parse_error").when(rows, "ok").when(control, "control").otherwise("ignored")
     done = df.withColumn("status", status).drop("__envelope", "__body", "valid")
@@ -49,13 +48,10 @@ def decoded(raw: DataFrame) -> DataFrame:
     return done.select(F.inline_outer(F.array(F.struct(*done.columns))))
 
 
-def _matches(table: Table, event: Column, rules: Column, stream: Column) -> Column:
-    match = (rules == table.rules) & _type(event).isin(*table.events)
-    return match & F.contains(stream, F.lit("@bookTicker")) if table.name == "book_tickers" else match
-
-
-def _any_table(event: Column, rules: Column, stream: Column) -> Column:
-    return reduce(lambda a, b: a | b, (_matches(t, event, rules, stream) for t in TABLES.values()))
+def has_table(kind: Column) -> Column:
+    """Whether events of this type make a row, under the payload's rules and stream."""
+    ticker = (kind == "") & F.contains("stream", F.lit("@bookTicker"))
+    return F.when(F.col("rules") == "spot", kind.isin(TYPES["spot"]) | ticker).otherwise(kind.isin(TYPES["futures"]))
 
 
 def quarantined(decoded_rows: DataFrame) -> DataFrame:
@@ -64,7 +60,7 @@ def quarantined(decoded_rows: DataFrame) -> DataFrame:
 
 def exploded(decoded_rows: DataFrame) -> DataFrame:
     """A row for each event of the payloads that gave rows."""
-    return decoded_rows.filter("status = 'ok'").select("received_at", "market", "shard_id", "stream", "rules", F.posexplode("events").alias("position", "event"))
+    return decoded_rows.filter("status = 'ok'").select("received_at", "market", "shard_id", "stream", "rules", F.posexplode(F.arrays_zip("events", "types")).alias("position", "e")).select("received_at", "market", "shard_id", "stream", "rules", "position", F.col("e.events").alias("event"), F.col("e.types").alias("type"))
 
 
 def source_label(market: Column, transport: str = "websocket") -> Column:
@@ -79,7 +75,9 @@ def table_rows(events: DataFrame, name: str) -> DataFrame:
     """The rows of one table, with its columns in order and target_market behind them."""
     table = TABLES[name]
     event, rx, spot = F.col("event"), F.col("received_at"), table.rules == "spot"
-    df = events.filter(_matches(table, event, F.col("rules"), F.col("stream")))
+    df = events.filter((F.col("rules") == table.rules) & F.col("type").isin(*table.events))
+    if name == "book_tickers":
+        df = df.filter(F.contains("stream", F.lit("@bookTicker")))
     if table.nested:
         inner = F.try_variant_get(event[table.nested], "$", EVENT)
         df = df.withColumn("inner", F.coalesce(inner, F.from_json(F.lit("{}"), EVENT)))
@@ -93,7 +91,7 @@ def table_rows(events: DataFrame, name: str) -> DataFrame:
     if table.nested and not spot:
         st = F.coalesce(st, F.when(~present(outer), read(F.col("inner")["st"], "oi", spot, rx)))
         route = F.when(present(outer), route).otherwise(i64_or_zero(text_of(F.col("inner")["st"])))
-    made = {"rx": rx, "src": source_label(F.col("market")), "st": st, "w": F.regexp_replace(_type(event), "Ticker$", "")}
+    made = {"rx": rx, "src": source_label(F.col("market")), "st": st, "w": F.regexp_replace("type", "Ticker$", "")}
     made = {k: v.alias(f"__{k}") for k, v in made.items()}
     keys = [c.key for c in table.columns if c.key]
     target = F.col("market") if spot else routed_market(route, F.col("market"))
