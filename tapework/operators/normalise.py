@@ -35,7 +35,9 @@ def decoded(raw: DataFrame) -> DataFrame:
     many = F.ltrim("__body").startswith("[")
     df = df.withColumn("events", F.when(many, F.from_json("__body", f"array<{EVENT}>")).otherwise(F.array(F.from_json("__body", EVENT))))
     df = df.withColumn("types", F.transform("events", _type))
-    whole = F.forall("events", lambda e: e.isNotNull() & _nested_ok(e, "k") & _nested_ok(e, "o"))
+    # Only the events that use a nested object need it to be one: elsewhere the same key is a price.
+    needs = lambda e, kind, key: (_type(e) != kind) | _nested_ok(e, key)
+    whole = F.forall("events", lambda e: e.isNotNull() & needs(e, "kline", "k") & needs(e, "forceOrder", "o"))
     valid = F.expr("try_parse_json(payload)").isNotNull() & F.col("events").isNotNull() & whole
     df = df.withColumn("valid", F.coalesce(valid, F.lit(False)))
     futures = F.col("market").isin(*FUTURES) & F.exists("types", lambda t: t.isin(TYPES["futures"]))
