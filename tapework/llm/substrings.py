@@ -122,6 +122,8 @@ class SubstringIndex:
         self.runs: list[DataFrame] = []
         #: Windows made so far, around every place whose fingerprint was not the only one of its kind.
         self.windows: list[DataFrame] = []
+        #: Their fingerprints: what has been made for a batch is not made again for the next.
+        self.met: list[DataFrame] = []
 
     def add(self, batch: DataFrame, after: int | None = None) -> DataFrame:
         """Indexes a batch (d, h, text) of ids above `after`, later in order than all before; d, h, starts: its windows that also start earlier.
@@ -134,7 +136,14 @@ class SubstringIndex:
             both = both.unionByName(old.filter("pos >= 0").withColumn("new", F.lit(False)))
         listed = both.filter("pos >= 0")
         met = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("new"), F.max("more").alias("more")).filter("new AND (n > 1 OR more)").select("key")
-        places = listed.join(met, "key").select("d", "h", F.array("pos").alias("places")).unionByName(run.filter("pos < 0").select("d", "h", "places"))
+        met = stored(met)
+        here = listed.filter("new").join(met, "key")
+        fresh = met
+        for old in self.met:
+            fresh = fresh.join(old, "key", "left_anti")
+        before = listed.filter("NOT new").join(fresh, "key")
+        self.met.append(met)
+        places = here.unionByName(before).select("d", "h", F.array("pos").alias("places")).unionByName(run.filter("pos < 0").select("d", "h", "places"))
         by_document = places.groupBy("d", "h").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
         texts = self.documents.join(by_document, ["d", "h"])
         windows = stored(_windows(texts, self.window, self.gram))
@@ -168,8 +177,8 @@ class SubstringIndex:
         self.windows = [first]
 
     def close(self) -> None:
-        forget(*self.runs, *self.windows)
-        self.runs, self.windows = [], []
+        forget(*self.runs, *self.windows, *self.met)
+        self.runs, self.windows, self.met = [], [], []
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_batches: int = BATCHES) -> DataFrame:
