@@ -3,7 +3,7 @@
 Documents come in batches, in order of their ids. Of each batch, selected window fingerprints (the smallest of the hashes inside a
 window, so that equal windows select alike) become a run: a stored table sorted by hash that never changes. A new batch's run is
 merge-joined with the historical runs. Where hashes meet, the windows around them are made anew from the texts
-and verified by two independent hashes of their words. Runs are compacted into one when there are several.
+and verified by two independent hashes of their words, 96 bits in all. Runs are compacted into one when there are several.
 """
 
 from __future__ import annotations
@@ -90,10 +90,11 @@ def _windows(suspects: DataFrame, window: int, gram: int) -> DataFrame:
                 flag = np.zeros(len(words.hash) + 1, bool)
                 flag[wanted[wanted < len(words.hash)]] = True
                 starts = starts[flag[at]]
-                w1, w2 = words.runs(window, FIRST)[starts].view(np.int64), words.runs(window, SECOND)[starts].view(np.int64)
+                w1, w2 = words.runs(window, FIRST)[starts].view(np.int64), (words.runs(window, SECOND)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 order = np.lexsort((starts, w2, w1))
                 new = np.r_[True, (w1[order][1:] != w1[order][:-1]) | (w2[order][1:] != w2[order][:-1])] if len(order) else np.zeros(0, bool)
-                lead, doc = order[new], words.doc[starts]
+                # In order of place: neighbours share their document, which packs well.
+                lead, doc = np.sort(order[new]), words.doc[starts]
                 place = (starts - words.first[doc]).astype(np.int32)
                 listed = pd.DataFrame({"w1": w1[lead], "w2": w2[lead], "d": d[first + doc[lead]], "h": h[first + doc[lead]], "start": place[lead]})
                 listed["starts"] = None
@@ -109,9 +110,9 @@ def _windows(suspects: DataFrame, window: int, gram: int) -> DataFrame:
                 if len(others):
                     cut = np.flatnonzero(np.r_[True, doc[others][1:] != doc[others][:-1]])
                     own = doc[others][cut]
-                    yield pd.DataFrame({"w1": h[first + own], "w2": d[first + own], "d": d[first + own], "h": h[first + own], "start": np.int32(-1), "starts": np.split(place[others], cut[1:])})
+                    yield pd.DataFrame({"w1": h[first + own], "w2": np.int32(0), "d": d[first + own], "h": h[first + own], "start": np.int32(-1), "starts": np.split(place[others], cut[1:])})
 
-    return suspects.select("d", "h", "text", "places").mapInPandas(run, "w1 long, w2 long, d long, h long, start int, starts array<int>")
+    return suspects.select("d", "h", "text", "places").mapInPandas(run, "w1 long, w2 int, d long, h long, start int, starts array<int>")
 
 
 class SubstringIndex:
@@ -125,10 +126,11 @@ class SubstringIndex:
         #: Their fingerprints: what has been made for a batch is not made again for the next.
         self.met: list[DataFrame] = []
 
-    def add(self, batch: DataFrame, after: int | None = None) -> DataFrame:
+    def add(self, batch: DataFrame, after: int | None = None, last: bool = False) -> DataFrame:
         """Indexes a batch (d, h, text) of ids above `after`, later in order than all before; d, h, starts: its windows that also start earlier.
 
-        Each file of a new run is sorted by itself; compaction deals them by hash and sorts them into one.
+        Each file of a new run is sorted by itself; compaction deals them by hash and sorts them into one. Of the last batch of all nothing
+        is kept that only a later one would need.
         """
         run = stored(fingerprints(batch, self.window, self.gram).sortWithinPartitions("key", "d", "h", "pos"))
         both = run.withColumn("new", F.lit(True))
@@ -148,6 +150,9 @@ class SubstringIndex:
         texts = self.documents.join(by_document, ["d", "h"])
         windows = stored(_windows(texts, self.window, self.gram))
         self.windows.append(windows)
+        if last:
+            forget(run, *self.runs, *self.met)
+            self.runs, self.met = [], []
         single = windows.filter("start >= 0").select("w1", "w2", "d", "h", "start")
         for old in self.windows[:-1]:
             single = single.unionByName(old.filter("start >= 0").select("w1", "w2", "d", "h", "start"))
@@ -156,6 +161,8 @@ class SubstringIndex:
         every = later.unionByName(windows.filter("start < 0").select("d", "h", "starts"))
         mine = every if after is None else every.filter(F.col("d") > after)
         found = stored(mine.groupBy("d", "h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts")))
+        if last:
+            return found
         self.runs.append(run)
         if len(self.runs) > self.fan_in:
             self._compact()
@@ -195,7 +202,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_batc
         batch = rows.select("d", "h", "text")
         batch = batch if low is None else batch.filter(F.col("d") > low)
         batch = batch if high is None else batch.filter(F.col("d") <= high)
-        new = index.add(batch, low)
+        new = index.add(batch, low, last=high is None)
         found = new if found is None else found.unionByName(new)
     index.close()
 
