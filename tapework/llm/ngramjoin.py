@@ -4,7 +4,7 @@ A document is the set of its word shingles. Shingles are hashed into groups; the
 The sum of two points' smaller coordinates bounds the sets' overlap from above. Points meet in blocks that share
 a necessary shingle (any linked pair shares one of the first shingles of either, in hash order). In a block, two R-trees are
 walked together: subtrees whose bound is too small, or which are one component already, are passed over; the pairs that
-survive are verified on the sets.
+survive are verified on the sets. A pair that shares several blocks comes from the first of them only.
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ from tapework.llm.wordhash import Words, batches, mix
 SHINGLE, GROUPS = 4, 32
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: More groups for larger sets, so that a group counts about so many shingles at most: else unlike sets look alike.
-PER_GROUP = 8
+#: More groups for larger sets, so that a group counts about so many shingles at most: else unlike sets look alike. From FINE groups on, points
+#: grow more slowly than that.
+PER_GROUP, FINE, PER_GROUP_BEYOND = 2, 512, 8
+#: Earlier keys that a member of a block knows. Pairs that share none of these but another are listed more than once, and lose their repeats later.
+EARLIER = 64
 #: Points of a leaf; points of a block that one task joins, beyond which blocks are cut and their parts joined pair by pair.
 LEAF, BLOCK = 32, 4_000
 #: Heads of blocks that a set is compared with before blocks are searched; what they leave unlinked, the search finds.
@@ -61,7 +64,7 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 def point(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
     """Counts of a set's shingles by group, a byte each. The number of groups is a power of two that grows with the set; halves add up to fewer groups."""
     group = (mix(shingles) >> np.uint64(40)).astype(np.int64)
-    while len(shingles) > PER_GROUP * groups or np.bincount(group % groups, minlength=groups).max(initial=0) > 255:
+    while len(shingles) > (PER_GROUP if groups < FINE else PER_GROUP_BEYOND) * groups or np.bincount(group % groups, minlength=groups).max(initial=0) > 255:
         groups *= 2
     return np.bincount(group % groups, minlength=groups).astype(np.uint8).tobytes()
 
@@ -151,6 +154,20 @@ class Tree:
                     yield rows_a[i], rows_b[j]
 
 
+def gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs in larger lots, of `most` at least but for the last."""
+    lot: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for pair in pairs:
+        lot.append(pair)
+        size += len(pair[0])
+        if size >= most:
+            yield tuple(np.concatenate(x) for x in zip(*lot, strict=True))
+            lot, size = [], 0
+    if lot:
+        yield tuple(np.concatenate(x) for x in zip(*lot, strict=True))
+
+
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose points allow a link."""
 
@@ -195,20 +212,59 @@ def _size_class(percent: int):
     return F.floor(F.log(F.col("n").cast("double")) / F.lit(-float(np.log(percent / 100))) + F.lit(1e-9)).cast("int")
 
 
+def _meet_earlier(earlier: list[np.ndarray], i: np.ndarray, j: np.ndarray, chunk: int = 4096) -> np.ndarray:
+    """For pairs of rows (i, j), whether their lists of keys have one in common. Keys are looked at in chunks, which bounds the table of bits."""
+    met = np.zeros(len(i), bool)
+    lengths = [len(e) for e in earlier]
+    if not sum(lengths):
+        return met
+    row = np.repeat(np.arange(len(earlier)), lengths)
+    _, key, times = np.unique(np.concatenate(earlier), return_inverse=True, return_counts=True)
+    # Only keys that two rows have can meet; the most frequent come first.
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(times))
+    key, n = rank[key], int((times > 1).sum())
+    for low in range(0, n, chunk):
+        open_ = np.flatnonzero(~met)
+        if not len(open_):
+            break
+        here = (key >= low) & (key < min(low + chunk, n))
+        bits = np.zeros((len(earlier), min(chunk, n - low)), bool)
+        bits[row[here], key[here] - low] = True
+        bits = np.packbits(bits, axis=1)
+        for k in range(0, len(open_), 100_000):
+            some = open_[k : k + 100_000]
+            met[some] = (bits[i[some]] & bits[j[some]]).any(1)
+    return met
+
+
 def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int) -> DataFrame:
-    """a, b: distinct pairs of different components that survive the bound, of members (key, rep, n, component)."""
-    placed = stored(members.withColumn("class", F.explode(F.array(_size_class(percent), _size_class(percent) + 1))))
+    """a, b: distinct pairs of different components that survive the bound, of members (key, rep, n, component).
+
+    Members know their earlier keys and their own class of size, so that a pair is listed under its first key alone, in the larger of its classes.
+    """
+    sets = members.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    keyed = sets.select("rep", "n", "component", "keys", F.posexplode("keys").alias("before", "key")).select("key", "rep", "n", "component", F.slice("keys", F.lit(1), F.least("before", F.lit(EARLIER))).alias("earlier"))
+    placed = stored(keyed.withColumn("own", _size_class(percent)).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") + 1))))
     sizes = placed.groupBy("key", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key", "class", "cuts")
-    own = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
+    part = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
     # A block that is too large for a task is cut, and each part meets each other part in a task of its own.
-    cut = placed.join(sizes, ["key", "class"]).join(points.select("rep", "point"), "rep").withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    cut = placed.join(sizes, ["key", "class"]).join(points.select("rep", "point"), "rep").withColumn("side", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     cut = cut.withColumns({"p": F.least("side", "other"), "q": F.greatest("side", "other")})
     names = ["key", "class", "p", "q"]
 
-    def joined(rep: np.ndarray, n: np.ndarray, component: np.ndarray, side: np.ndarray | None, points: np.ndarray) -> Iterator[pd.DataFrame]:
-        if (component == component[0]).all() or 100 * n.max() < percent * n.min():
+    def joined(block: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rep, n, component, side = (block[c].to_numpy() for c in ("rep", "n", "component", "side"))
+        upper = block["own"].to_numpy() == block["class"].to_numpy()
+        across = block["p"].iat[0] != block["q"].iat[0]
+        if (component == component[0]).all() or not upper.any() or 100 * n.max() < percent * n.min():
             return
-        for i, j in Tree(folded(list(points)), n, component).pairs(percent, side):
+        tree = Tree(folded(list(block["point"])), n, component)
+        earlier = list(block["earlier"])
+        for pairs in gathered(tree.pairs(percent, side if across else None)):
+            i, j = (x[upper[pairs[0]] | upper[pairs[1]]] for x in pairs)
+            new = ~_meet_earlier(earlier, i, j)
+            i, j = i[new], j[new]
             yield pd.DataFrame({"a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j])})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,13 +277,12 @@ def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int
                 continue
             key = frame[names].to_numpy()
             starts = [*np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)]), len(key)]
-            rep, n, component, side, points = (frame[c].to_numpy() for c in ("rep", "n", "component", "side", "point"))
             for a, b in itertools.pairwise(starts if last else starts[:-1]):
-                across = key[a, 2] != key[a, 3]
-                yield from joined(rep[a:b], n[a:b], component[a:b], side[a:b] if across else None, points[a:b])
+                if b - a > 1:
+                    yield from joined(frame.iloc[a:b])
             rest = None if last else frame.iloc[starts[-2] :]
 
-    dealt = cut.select(*names, "rep", "n", "component", "side", "point").repartition(*names).sortWithinPartitions(*names)
+    dealt = cut.select(*names, "own", "rep", "n", "component", "side", "earlier", "point").repartition(*names).sortWithinPartitions(*names)
     return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
