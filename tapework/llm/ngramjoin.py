@@ -246,26 +246,36 @@ def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int
     sets = members.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     keyed = sets.select("rep", "n", "component", "keys", F.posexplode("keys").alias("before", "key")).select("key", "rep", "n", "component", F.slice("keys", F.lit(1), F.least("before", F.lit(EARLIER))).alias("earlier"))
     placed = stored(keyed.withColumn("own", _size_class(percent)).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") + 1))))
-    sizes = placed.groupBy("key", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key", "class", "cuts")
+    sizes = placed.groupBy("key", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("own").alias("top")).filter("low <> high AND top = class").select("key", "class", "cuts")
     part = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
     # A block that is too large for a task is cut, and each part meets each other part in a task of its own.
     cut = placed.join(sizes, ["key", "class"]).join(points.select("rep", "point"), "rep").withColumn("side", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     cut = cut.withColumns({"p": F.least("side", "other"), "q": F.greatest("side", "other")})
     names = ["key", "class", "p", "q"]
 
-    def joined(block: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        rep, n, component, side = (block[c].to_numpy() for c in ("rep", "n", "component", "side"))
-        upper = block["own"].to_numpy() == block["class"].to_numpy()
-        across = block["p"].iat[0] != block["q"].iat[0]
-        if (component == component[0]).all() or not upper.any() or 100 * n.max() < percent * n.min():
+    def listed(i: np.ndarray, j: np.ndarray, rep: np.ndarray, earlier: np.ndarray) -> Iterator[pd.DataFrame]:
+        new = ~_meet_earlier(list(earlier), i, j)
+        i, j = i[new], j[new]
+        yield pd.DataFrame({"a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j])})
+
+    def joined(rep, n, component, side, upper, point, earlier) -> Iterator[pd.DataFrame]:
+        if len(rep) > LEAF:
+            tree = Tree(folded(list(point)), n, component)
+            for pairs in gathered(tree.pairs(percent, side)):
+                either = upper[pairs[0]] | upper[pairs[1]]
+                yield from listed(pairs[0][either], pairs[1][either], rep, earlier)
             return
-        tree = Tree(folded(list(block["point"])), n, component)
-        earlier = list(block["earlier"])
-        for pairs in gathered(tree.pairs(percent, side if across else None)):
-            i, j = (x[upper[pairs[0]] | upper[pairs[1]]] for x in pairs)
-            new = ~_meet_earlier(earlier, i, j)
-            i, j = i[new], j[new]
-            yield pd.DataFrame({"a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j])})
+        # A tree of one leaf: what sizes and components leave is bounded pair by pair.
+        i, j = np.triu_indices(len(rep), 1)
+        ok = (component[i] != component[j]) & (upper[i] | upper[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        if side is not None:
+            ok &= side[i] != side[j]
+        if ok.any():
+            i, j = i[ok], j[ok]
+            x = folded(list(point))
+            ok = (100 + percent) * np.minimum(x[i], x[j]).sum(1, dtype=np.int64) >= percent * (n[i] + n[j])
+            if ok.any():
+                yield from listed(i[ok], j[ok], rep, earlier)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by block; the last block of a frame may go on in the next.
@@ -277,9 +287,12 @@ def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int
                 continue
             key = frame[names].to_numpy()
             starts = [*np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)]), len(key)]
+            columns = [frame[c].to_numpy() for c in ("rep", "n", "component", "side")]
+            columns += [frame["own"].to_numpy() == frame["class"].to_numpy(), frame["point"].to_numpy(), frame["earlier"].to_numpy()]
             for a, b in itertools.pairwise(starts if last else starts[:-1]):
                 if b - a > 1:
-                    yield from joined(frame.iloc[a:b])
+                    rep, n, component, side, *others = (c[a:b] for c in columns)
+                    yield from joined(rep, n, component, side if key[a, 2] != key[a, 3] else None, *others)
             rest = None if last else frame.iloc[starts[-2] :]
 
     dealt = cut.select(*names, "own", "rep", "n", "component", "side", "earlier", "point").repartition(*names).sortWithinPartitions(*names)
