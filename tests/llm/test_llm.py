@@ -146,6 +146,16 @@ def test_tree_loses_no_pair():
     assert found == want
 
 
+def test_pairs_that_meet_earlier():
+    rng = np.random.default_rng(3)
+    earlier = [rng.integers(0, 60, int(k)) for k in rng.integers(0, 6, 40)]
+    i, j = np.triu_indices(40, 1)
+    want = [bool(set(earlier[a]) & set(earlier[b])) for a, b in zip(i, j, strict=True)]
+    for chunk in (7, 4096):
+        assert ngramjoin._meet_earlier(earlier, i, j, chunk).tolist() == want
+    assert not ngramjoin._meet_earlier([np.zeros(0, np.int64)] * 2, np.array([0]), np.array([1])).any()
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect()}
