@@ -1,8 +1,8 @@
 """Main-text extraction from web pages by composite text density.
 
 For every node of a page: characters per tag, adjusted for the characters inside links. A node's score is the sum of
-its children's densities. The main subtree is the one with the highest score among nodes whose own density reaches the
-threshold, the least density on the path from body to the densest node.
+its children's densities. The main subtree starts at the node with the highest score and widens to the ancestor that holds
+its sibling parts: nodes whose own density reaches the threshold, the least density on the path from body to that node.
 """
 
 from __future__ import annotations
@@ -16,24 +16,29 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 #: Elements that never hold article text, that break a block, that have no end tag, and closing rules.
-SKIPPED = frozenset("script style noscript template head title nav header footer aside form button select option textarea iframe svg canvas object embed dialog menu".split())
+SKIPPED = frozenset("script style noscript template head title nav header footer aside button select option textarea iframe svg canvas object embed dialog menu".split())
 BLOCKS = frozenset("address article blockquote body br dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul caption center".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"br", "body", "html"}
 RAW = frozenset("script style textarea title noscript iframe template".split())
-#: Words in a class, id or role that mark menus, notices, adverts and reader comments.
+#: Words in a class, id or role that mark menus, notices, adverts and reader comments. They and forms count only where size and density agree.
 NOISE = re.compile(r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav(?:igation|bar)?|menu|breadcrumbs?|sidebar|footer|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social|comments?|comment-list|respond|replies|related|recommended|widget|toolbar|pagination|complementary|contentinfo|search)(?:$|[-_ ])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
 MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+CLASS = re.compile(r"\bclass\s*=\s*([\"'][^\"']+|[^\s>\"']+)", re.I)
+COMMENTS = re.compile(r"(?:^|[-_ ])(?:comments?|comment-list|respond|replies)(?:$|[-_ ])", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
+#: Shares of a page's text outside links: a marked node with MOST is kept, one with SOME if it is as dense as the page, reader comments only with NEARLY_ALL
+#: or as a wrapper of main or h1; siblings widen the result if they hold WIDENS of its text. A line of less than A_LINE characters stays what it is marked.
+MOST, SOME, NEARLY_ALL, WIDENS, A_LINE = 0.5, 0.2, 0.9, 0.1, 200
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "noise", "pieces")
+    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "noise", "pieces", "doubt", "marks", "kind")
 
-    def __init__(self, name: str, parent: Node | None, noise: bool = False):
-        self.name, self.parent, self.noise = name, parent, noise
+    def __init__(self, name: str, parent: Node | None, noise: bool = False, doubt: bool = False, marks: str = "", kind: str = ""):
+        self.name, self.parent, self.noise, self.doubt, self.marks, self.kind = name, parent, noise, doubt, marks, kind
         self.children: list[Node] = []
         self.pieces: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -63,8 +68,10 @@ def parse(html: str) -> Node:
             node = _closed(node, {"p"}, BLOCKS - {"p"})
         if name in ("li", "dd", "dt", "tr", "td", "th", "option"):
             node = _closed(node, {"dd", "dt"} if name in ("dd", "dt") else {"td", "th"} if name in ("td", "th") else {name}, {"ul", "ol", "dl", "table", "select"})
-        noise = name in SKIPPED or bool(m[3]) and (any(NOISE.search(" ".join(filter(None, x))) for x in MARKED.findall(m[3])) and name not in ("body", "html", "main") or bool(HIDDEN.search(m[3])))
-        child = Node(name, node, noise)
+        marked = MARKED.findall(m[3]) if m[3] else []
+        marks = " ".join(filter(None, (y for x in marked for y in x)))
+        doubt = name == "form" or name not in ("body", "html", "main") and any(NOISE.search(" ".join(filter(None, x))) for x in marked)
+        child = Node(name, node, name in SKIPPED or bool(m[3]) and bool(HIDDEN.search(m[3])), doubt, marks, f"{name} {c[1]}" if (c := CLASS.search(m[3] or "")) else "")
         node.children.append(child)
         node.pieces.append(child)
         if name in VOID or m[0].endswith("/>"):
@@ -96,16 +103,47 @@ def _in_order(root: Node) -> list[Node]:
     return order
 
 
-def main_node(root: Node) -> Node | None:
-    """The subtree with the largest density sum; None for a page without text."""
-    order = _in_order(root)
+def _count(order: list[Node]) -> None:
     for n in reversed(order):
         if n.noise:
+            n.chars = n.tags = n.link_chars = n.link_tags = 0
             continue
         n.chars = sum(len(p.strip()) for p in n.pieces if isinstance(p, str)) + sum(c.chars for c in n.children)
         n.tags = sum(1 + c.tags for c in n.children if not c.noise)
         n.link_chars = n.chars if n.name == "a" else sum(c.link_chars for c in n.children)
         n.link_tags = sum((c.name == "a") + c.link_tags for c in n.children if not c.noise)
+
+
+def _holds(a: Node, b: Node | None) -> bool:
+    while b is not None and b is not a:
+        b = b.parent
+    return b is a
+
+
+def _settle(root: Node) -> None:
+    """Marked nodes and forms become noise, unless they hold so much of the counted page that the mark cannot be meant for all of it."""
+    page, order = max(root.chars - root.link_chars, 1), _in_order(root)
+    named = [x for x in order if x.name in ("article", "main") and x.chars]
+    for n in order:
+        if not n.doubt:
+            continue
+        free, linked = n.chars - n.link_chars, 2 * n.link_chars > n.chars
+        share = free / page
+        if free < A_LINE or named and not any(_holds(x, n) or _holds(n, x) for x in named):
+            kept = False  # a page that names its article elsewhere agrees with the mark
+        elif COMMENTS.search(n.marks):
+            kept = share >= NEARLY_ALL or share >= MOST and any(x.name in ("main", "h1") for x in _in_order(n))
+        else:
+            kept = share >= MOST or share >= SOME and not linked and n.chars * max(root.tags, 1) >= root.chars * max(n.tags, 1)
+        n.noise = not kept
+
+
+def main_node(root: Node) -> Node | None:
+    """The subtree with the largest density sum; None for a page without text."""
+    _count(_in_order(root))
+    _settle(root)
+    order = _in_order(root)
+    _count(order)
     body = next((n for n in order if n.name == "body" and not n.noise), root)
     if not body.chars:
         return None
@@ -132,8 +170,7 @@ def main_node(root: Node) -> Node | None:
     while n is not None:
         path.append(dense[id(n)])
         n = None if n is body else n.parent
-    threshold = min(path)
-    best = max((n for n in inside if dense[id(n)] >= threshold), key=lambda n: total[id(n)], default=body)
+    threshold, best = min(path), top
     # Inline markup and single paragraphs are parts of the article, not the article.
     while best is not body and (best.name not in BLOCKS or best.name in ("p", "li", "td", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6")):
         best = best.parent
@@ -143,7 +180,31 @@ def main_node(root: Node) -> Node | None:
         if up.name in ("article", "main"):
             return up
         up = up.parent
-    return best
+    return _widened(best, body, dense, threshold)
+
+
+def _widened(best: Node, body: Node, dense: dict[int, float], threshold: float) -> Node:
+    """The highest ancestor whose other children are parts of the same text. Lists of links beside the way to it become noise.
+
+    Composite density grows with a node's size, so a small part may also reach the threshold in characters per tag.
+    """
+    plain = lambda n: n.chars / max(n.tags, 1)
+    way, least = best, plain(best)
+    while way is not body and way.parent is not None:
+        way = way.parent
+        least = min(least, plain(way))
+    way, result = best, best
+    while way is not body and way.parent is not None:
+        on, way = way, way.parent
+        parts = [c for c in way.children if c is not on and not c.noise and c.name in BLOCKS and c.chars and 2 * c.link_chars <= c.chars and (dense[id(c)] >= threshold or plain(c) >= least)]
+        if sum(c.chars for c in parts) >= WIDENS * on.chars or any(c.kind and c.kind == on.kind for c in parts):
+            result = way
+    way = best
+    while way is not result:
+        on, way = way, way.parent
+        for c in way.children:
+            c.noise = c.noise or c is not on and c.name in BLOCKS and 2 * c.link_chars > c.chars
+    return result
 
 
 def blocks_of(node: Node) -> list[str]:
