@@ -8,6 +8,7 @@ in template order, into spans that cover a template.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -139,23 +140,37 @@ class Scanner:
         return {"n_words": n, "places": sorted(set(places)), "spans": self._chained(runs)}
 
     def _chained(self, runs: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Runs (end, state, length) chained for each template in order of both texts, at most gap words apart."""
-        best: dict[str, tuple[float, int, int]] = {}
+        """Runs (end, state, length) chained for each template in order of both texts, at most gap words apart.
+
+        Of each template, every chain of the wanted coverage that overlaps no better one; where none has it, the best.
+        """
         chains: dict[int, list[tuple[int, int, int, int]]] = {}  # template: (text end, template end, text start, covered)
         for end, state, length in runs:
             for k, template_end in sorted(self.automaton.ends[state]):
                 if self.is_phrase[k]:
                     continue
-                start, covered = end - length, length
-                for e, t, s, c in chains.get(k, [])[-32:]:
+                start, covered, own = end - length, length, chains.setdefault(k, [])
+                # Ends ascend, so all runs that end inside the gap are the last ones.
+                for at in range(len(own) - 1, -1, -1):
+                    e, t, s, c = own[at]
+                    if end - length - e > self.gap:
+                        break
                     ahead, moved = end - e, template_end - t
-                    if ahead > 0 and moved > 0 and end - length - e <= self.gap and c + min(length, ahead, moved) > covered:
+                    if ahead > 0 and moved > 0 and c + min(length, ahead, moved) > covered:
                         start, covered = s, c + min(length, ahead, moved)
-                chains.setdefault(k, []).append((end, template_end, start, covered))
+                own.append((end, template_end, start, covered))
+        spans = []
+        for k, own in chains.items():
+            taken: list[tuple[int, int]] = []
+            for end, _, start, covered in sorted(own, key=lambda x: (-x[3], x[0])):
                 share = covered / len(self.sequences[k])
-                if share > best.get(self.labels[k], (0.0,))[0]:
-                    best[self.labels[k]] = (share, start, end - 1)
-        return [(label, start, end, min(share, 1.0)) for label, (share, start, end) in sorted(best.items())]
+                if taken and share < self.covered:
+                    break
+                at = bisect_left(taken, (start, end))
+                if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= end):
+                    taken.insert(at, (start, end))
+                    spans.append((self.labels[k], start, end - 1, min(share, 1.0)))
+        return sorted(spans)
 
 
 def scanned(docs: DataFrame) -> DataFrame:
