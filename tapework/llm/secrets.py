@@ -20,11 +20,22 @@ from pyspark.sql import functions as F
 
 #: What may be a secret, words that point to one, words that point away, and common word parts.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_.\-]{16,}")
-KEY_BLOCK = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----.*?-----END (?:[A-Z]+ )?PRIVATE KEY-----", re.S)
-NAMED = re.compile(r"[A-Za-z0-9_.\-]{0,40}=+(?=[^=])")
-KNOWN_FORM = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{30,}$|xox[abpr]-[A-Za-z0-9-]{10,}$|sk_live_[A-Za-z0-9]{16,}$|eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{8,}$|AIza[\w-]{30,}$")
+KEY_START = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+KEY_END = re.compile(r"-----(?:(END) (?:[A-Z0-9]+ )*|BEGIN (?:[A-Z0-9]+ )*)PRIVATE KEY-----")
+#: What stands in a key block that has no end: headers, lines of base64, and a shorter last line.
+KEY_LINES = re.compile(r"(?:(?:\s|\\[nr])*(?:Proc-Type|DEK-Info):[^\n\\]*)*(?:(?:\s|\\[nr])*[A-Za-z0-9+/=]{20,})+(?:[ \t\r]*(?:\n|\\n)[A-Za-z0-9+/=]+(?=[ \t\r]*(?:\n|\\n|$)))?")
+NAMED = re.compile(r"[A-Za-z0-9+/_.\-]*=+(?=[^=])")
+KNOWN = r"(?:AKIA|ASIA)[0-9A-Z]{16}{0}|gh[pousr]_[A-Za-z0-9]{30,}{0}|xox[abpr]-[A-Za-z0-9-]{10,}{0}|sk_live_[A-Za-z0-9]{16,}{0}|eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{8,}{0}|AIza[\w-]{30,}{0}"
+KNOWN_FORM = re.compile(KNOWN.replace("{0}", "$"))
+KNOWN_INSIDE = re.compile(f"(?<![A-Za-z0-9])(?:{KNOWN.replace('{0}', '')})(?![A-Za-z0-9])")
 POINTING = "token secret password passwd pwd api_key apikey api-key access_key auth credential credentials private_key client_secret bearer key".split()
 AWAY = "example sample dummy placeholder test fake changeme your sha sha1 sha256 md5 commit revision checksum digest hash uuid guid integrity etag version build id cid".split()
+#: A name that points to a secret, and the unbroken value behind it: to the closing quote, or to a space, a mark of the next name or ##.
+_NAMES = "token secret password passwd passphrase pwd api[_-]?key access_?key auth credentials? private_?key client_?secret bearer key".split()
+POINTED = re.compile(
+    rf"(?:(?<![A-Za-z0-9])(?i:{'|'.join(_NAMES)})|(?<=[a-z])(?:{'|'.join(x.capitalize() for x in _NAMES)}))(?![A-Za-z0-9])[\"'`\]]*[ \t]*(?:=>|:=|={{1,3}}|:)[ \t]*"
+    r"(?:\"([^\s\"]{8,})\"|'([^\s']{8,})'|`([^\s`]{8,})`|[\"'`]?((?:(?!##|[,;&]\s*[\w.\-]+[\"']?\s*[=:])[^\s\"'`<>]){8,}))"
+)
 PARTS = "the and ing tion ation ment able port name user data file path test main index value string object class function return import export config service manager controller handler request response example sample http https www com org html json page image style script button header footer content table list item default public static final window document element event listener component module package version build release error message".split()
 FILE_END = re.compile(r"\.(?:com|org|net|io|html?|php|js|css|json|png|jpe?g|gif|svg|md|py|java|txt|xml|pdf|zip)(?:[/?#]|$)", re.I)
 #: Labelled findings that training reads at most; trees, their depth, and candidates per leaf at least.
@@ -58,17 +69,66 @@ def features(value: str, before: str, after: str) -> list[float]:
     ]
 
 
+def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Private key blocks; one without an end goes to its last line of base64."""
+    at = 0
+    while m := KEY_START.search(text, at):
+        at, end = m.end(), KEY_END.search(text, m.end())
+        if end and end[1]:
+            at = end.end()
+        elif lines := KEY_LINES.match(text, m.end()):
+            at = lines.end()
+        else:
+            continue
+        yield m.start(), at
+
+
+def _pieces(text: str, start: int, end: int, pointed: bool) -> Iterator[tuple[int, int, str]]:
+    """A run as it is, or the keys of a known form inside it and what is left beside them."""
+    value = text[start:end]
+    if KNOWN_FORM.match(value):
+        yield start, end, "form"
+        return
+    at = start
+    for a, b in [*(m.span() for m in KNOWN_INSIDE.finditer(text, start, end)), (end, end)]:
+        rest = text[at:a].rstrip(".-")
+        if len(rest) >= (8 if pointed else 16) and (pointed or any(c.isdigit() for c in rest)):
+            yield at, at + len(rest), "string"
+        if b > a:
+            yield a, b, "form"
+        at = b
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, kind) of what may be a secret, in order, without overlaps."""
-    blocks = [m.span() for m in KEY_BLOCK.finditer(text)] if "-----BEGIN" in text else []
+    """(start, end, kind) of what may be a secret, without overlaps: key blocks, values of 8 or more characters behind a pointing name, long runs with a digit."""
+    blocks = list(_key_blocks(text)) if "-----BEGIN" in text else []
     yield from ((a, b, "private_key") for a, b in blocks)
+    taken = list(blocks)
+    for m in POINTED.finditer(text):
+        quoted = m[1] or m[2] or m[3]
+        start = m.start(m.lastindex)
+        value = quoted or m[4].rstrip(".,;:)]}-")
+        end = start + len(value)
+        if len(value) >= 8 and not any(a < end and start < b for a, b in blocks):
+            taken.append((start, end))
+            yield from _pieces(text, start, end, True)
+    taken.sort()
+    k = 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        # What stands before a taken value is its name; what stands behind it is a run of its own.
+        j = k
+        while j < len(taken) and taken[j][0] < end:
+            start, j = max(start, taken[j][1]), j + 1
+        if end - start < 16:
+            continue
         if name := NAMED.match(text, start, end):  # name=value: the value counts
             start = name.end()
-        value = text[start:end].rstrip(".-")
-        if len(value) >= 16 and not value.isalpha() and any(c.isdigit() for c in value) and not any(a <= start < b for a, b in blocks):
-            yield start, start + len(value), "form" if KNOWN_FORM.match(value) else "string"
+        end = start + len(text[start:end].rstrip(".-"))
+        if end - start >= 16:
+            yield from _pieces(text, start, end, False)
 
 
 class Forest:
@@ -155,6 +215,21 @@ def written_findings(n: int = 3000, seed: int = SEED) -> list[tuple[str, str, st
             ]
         )
         found.append((*plain[:2], plain[2] + " " + prose(), 0))
+    # Values behind a pointing name that no length or digit gives away.
+    r = random.Random(seed + 1)
+    marks = "!#$%&*+-/?@^_~"
+    for _ in range(n // 4):
+        name, sign, quote = r.choice([*POINTING, "db_password", "admin_pwd", "client-secret"]), r.choice([" = ", "=", ": ", "\": "]), r.choice(['"', '"', "'", ""])
+        k = r.randint(8, 15)
+        mixed = "".join(r.sample(of("low", k - 3) + r.choice(alphabet["up"][:26]) + r.choice("0123456789") + r.choice(marks), k))
+        value = r.choice([mixed, mixed, of("low", k), of("url", k), "".join(r.choice(alphabet["b64"][:52]) for _ in range(r.randint(12, 40)))])
+        value = r.choice([value, value, value, r.choice(["-", "_", "", "."]).join(syllable(r.randint(2, 4)) for _ in range(4))])
+        found.append((value, prose() + name + sign + quote, quote + r.choice(["", " ", ";", ","]) + prose(), 1))
+        word, part = syllable(r.randint(4, 5)), r.choice(PARTS)
+        code = r.choice([f"{part}.{r.choice(PARTS)}.{name}", f"get_{part}({word[:4]})", f"{part}[{word[:5]}]", f"{part}_{r.choice(PARTS)}", f"${{{word[:6].upper()}_{part.upper()}}}", f"{part}({word[:3]}.{r.choice(PARTS)})", f"self._{part}_{name}", f"process.env.{part.upper()}"])
+        value, before = r.choice([(word[:14], r.choice([": ", " : ", " = "])), (code, r.choice([" = ", "=", ": "])), (code, r.choice([" = ", "="])), (r.choice(["changeme", "your-password", "undefined", "example-token", "placeholder", "xxxxxxxx", "********", "required", "optional", "password"]), r.choice([" = \"", ": \"", "="]))])
+        if len(value) >= 8:
+            found.append((value, prose() + name + before, r.choice(["", "\"", ";", ","]) + " " + prose(), 0))
     return found
 
 
