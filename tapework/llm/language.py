@@ -165,17 +165,20 @@ def held_out(doc_id: Column) -> Column:
 def learned(labelled: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE, characters: int = CHARACTERS, **settings: int) -> Network | None:
     """A network from rows with text and lang, at most per_language documents of each language; None if there is none.
 
-    Every row is counted; those that are read are drawn by a hash of the text, so the same table gives the same network.
+    Every row is read, copies of a text in a language count once; those that are learned have the smallest hashes of the texts
+    drawn by hash, for each language on its own, so the same table gives the same network.
     """
-    usable = labelled.select("text", "lang").filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    usable = labelled.select("text", "lang", F.xxhash64("text").alias("h")).filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
+    counts = {r["lang"]: r["n"] for r in usable.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2.0 * per_language / n))])
-    h = F.xxhash64("text")
+    h = F.col("h")
     drawn = F.pmod(h, F.lit(1_000_003)) / 1_000_003.0 < F.element_at(share, F.col("lang"))
     at = F.pmod(F.shiftright(h, 20), F.greatest(F.char_length("text") - characters, F.lit(0)) + 1) + 1
-    rows = usable.filter(drawn).select("lang", F.substring(F.col("text"), at.cast("int"), F.lit(characters)).alias("part"), h.alias("h")).orderBy("h", "lang").limit(2 * per_language * len(counts)).collect()
+    # About 2 * per_language rows of each language, as copies fall together before they are sent.
+    parts = usable.filter(drawn).select("lang", "h", F.substring(F.col("text"), at.cast("int"), F.lit(characters)).alias("part"))
+    rows = parts.groupBy("lang", "h").agg(F.min("part").alias("part")).orderBy("h", "lang").collect()
     languages, taken = sorted(counts), dict.fromkeys(counts, 0)
     texts, labels = [], []
     for r in rows:
