@@ -1,6 +1,7 @@
 """SpotSigs document fingerprints, in DataFrame functions only.
 
-A signature is an anchor (a very common word) and the chain of the next content words after it.
+A signature is an anchor (a very common word) and the chain of the next content words after it. Where no anchor is near, as in
+other languages, code and lists, every word is one, so no stretch of a text stays out of its fingerprint.
 A document's fingerprint is the sorted set of its signatures' 32-bit hashes. Sets are partitioned by
 their length, and only sets whose lengths allow the wanted Jaccard similarity are compared.
 """
@@ -23,36 +24,54 @@ ANCHORS = (
     "como con de del el las lo los más no o para pero por su sus y"
 )
 MARK = "\u0001"
+#: A word with no anchor in so many words before and behind it is an anchor itself.
+NEAR = 8
 
 
 def fingerprints(df: DataFrame, text: str = "text", out: str = "signatures", anchors: str = ANCHORS) -> DataFrame:
     """df and one more column, array<int>: the sorted set of a text's signature hashes, from chains of two content words.
 
     Of anchors in a row, the last counts. The start of a text is an anchor too, so that every text with a
-    word has a signature. Null, empty and wordless texts have none. Case and punctuation are ignored.
+    word has a signature; a text of at most NEAR words without another anchor has one of all its words. Null, empty and wordless texts have none. Case and punctuation are ignored.
     """
     by_letter = {x[0]: sorted({y[1:] for y in anchors.split() if y[0] == x[0]}) for x in anchors.split()}
     some = "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in by_letter.items())
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     marked = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), f" ({some})(?= )", f"{MARK}$1")
     # The parts are a column of their own: inside the expression below, Spark would split the text again for every part.
-    return df.withColumn("__parts", F.split(marked, " ")).withColumn(out, _chains(F.col("__parts"))).drop("__parts")
+    bare = F.rlike(F.col("__marked"), F.lit(f"(?:(?:^| )[^{MARK} ]+(?=[ {MARK}])){{{NEAR + 1}}}"))
+    dealt = df.withColumn("__marked", marked).withColumns({"__parts": F.split("__marked", " "), "__bare": bare})
+    return dealt.withColumn(out, _chains(F.col("__parts"), F.col("__bare"))).drop("__marked", "__parts", "__bare")
 
 
-def _chains(parts: Column) -> Column:
+def _chains(parts: Column, bare: Column) -> Column:
     # An element is a content word and, behind a mark, the anchor that follows it; the first and last may be empty.
     word = lambda i: F.substring_index(F.get(parts, i), MARK, 1)
+    marked = lambda x: F.contains(x, F.lit(MARK))
     spots = F.filter(
         F.transform(
             parts,
             lambda x, i: F.when(
-                ((i == 0) & (F.size(parts) > 1) & (F.concat(x, F.get(parts, i + 1)) != "")) | (F.contains(x, F.lit(MARK)) & (i < F.size(parts) - 3)),
+                ((i == 0) & (F.size(parts) > 1) & (F.concat(x, F.get(parts, i + 1)) != "")) | (marked(x) & (i < F.size(parts) - 3)),
                 F.hash(F.substring_index(x, MARK, -1), word(i + 1), word(i + 2)),
             ),
         ),
         lambda x: x.isNotNull(),
     )
-    return F.sort_array(F.array_distinct(spots))
+    # A chain of three words in a stretch without anchors; the end of a text cuts none off that the chain before it does not hold.
+    alone = F.filter(
+        F.transform(
+            parts,
+            lambda x, i: F.when(
+                (i > 0) & (i < F.size(parts) - 3) & ~F.exists(F.slice(parts, F.greatest(i - NEAR, F.lit(0)) + 1, F.least(i, F.lit(NEAR)) + (NEAR + 1)), marked),
+                F.hash(F.lit(MARK), x, word(i + 1), word(i + 2)),
+            ),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    short = (F.size(parts) > 2) & (F.size(parts) <= NEAR + 2) & ~F.exists(parts, marked)
+    found = F.when(short, F.array(F.hash(parts))).when(bare, F.concat(spots, alone)).otherwise(spots)
+    return F.sort_array(F.array_distinct(found))
 
 
 def printed(signature_set: Column) -> Column:
