@@ -44,11 +44,11 @@ def totals(plan: DataFrame) -> DataFrame:
 
 
 def resorted(df: DataFrame, partition: list[str]) -> DataFrame:
-    """Each partition's rows by symbol and the times that the table has; unchanged without a symbol."""
+    """Each partition's rows by symbol and the times that the table has; unchanged without a symbol. A large partition is dealt in ranges of that order."""
     keys = [k for k in SORT_KEYS if k in df.columns]
     if "symbol" not in keys:
         return df
-    return (df.repartition(*partition) if partition else df.coalesce(1)).sortWithinPartitions(*partition, *keys)
+    return (df.repartitionByRange(*partition, *keys) if partition else df.coalesce(1)).sortWithinPartitions(*partition, *keys)
 
 
 def merged(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -131,8 +131,13 @@ def c15_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT st AS part, n, row_number() OVER (PARTITION BY st ORDER BY sym, ms, n) AS place FROM ({LINES_SQL})")
 def c7_resorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines(spark, sf_dir).select("st", F.col("sym").alias("symbol"), F.col("ms").alias("event_time"), F.col("n").alias("received_at"))
-    place = F.row_number().over(W.partitionBy("st").orderBy("symbol", "event_time", "received_at"))
-    return compact.resorted(rows, ["st"]).select(F.col("st").alias("part"), F.col("received_at").alias("n"), place.cast("bigint").alias("place"))
+    # A row's place is the number of rows of earlier groups and its place in its own; no task sees a whole part.
+    group = ["st", "symbol", "event_time"]
+    before = F.sum("n_rows").over(W.partitionBy("st").orderBy("symbol", "event_time")) - F.col("n_rows")
+    offsets = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("before", before).select(*[F.col(k).alias(f"o_{k}") for k in group], "before")
+    own = F.row_number().over(W.partitionBy(*group).orderBy("received_at"))
+    placed = rows.withColumn("own", own).join(offsets, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in group])
+    return compact.resorted(placed, ["st"]).select(F.col("st").alias("part"), F.col("received_at").alias("n"), (F.col("before") + F.col("own")).cast("bigint").alias("place"))
 
 
 @query(f"SELECT st AS part, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS total FROM ({LINES_SQL}) GROUP BY st")
