@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: reading tables, cutting lineage, small column helpers."""
+"""What the operators of this subpackage share: reading tables, cutting lineage, columns made from texts, small column helpers."""
 
 from __future__ import annotations
 
@@ -6,9 +6,16 @@ import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Lets Spark delete the shuffle files of a write once it is done; what was written is read from then on.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,35 +23,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that driver and executors share: the session's spark.checkpoint.dir. Where it is unset, a new local one, but on a local master only."""
     sc = spark.sparkContext
     chosen = sc.getCheckpointDir()
     if not chosen:
-        chosen = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        chosen = spark.conf.get("spark.checkpoint.dir", None)
+        if not chosen:
+            if not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            chosen = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(chosen)
         chosen = sc.getCheckpointDir()
     return chosen
 
 
+@contextmanager
+def setting(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session, as they were before once done."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def tidy(spark: SparkSession):
+    """Inside, a finished write leaves no shuffle files behind."""
+    return setting(spark, {CLEANUP: "true"})
+
+
 def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: lineage is cut and a lost executor costs no more than a re-read."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.options(**(options or {})).parquet(path)
-    # Spark drops a finished job's shuffle files once the driver's garbage is collected; without this they pile up until chance does it.
-    spark.sparkContext._jvm.System.gc()
+    with tidy(spark):
+        df.write.options(**(options or {})).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def forget(*frames: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for df in frames:
         if path := getattr(df, "stored_at", None):
-            jvm = df.sparkSession.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            delete(df.sparkSession, path)
+
+
+def made_from(df: DataFrame, source: str | list[str], make: Callable[..., dict[str, pa.Array]], added: str, keep: list[str] | None = None) -> DataFrame:
+    """df's columns (those in keep, or all) and the added ones (a schema string), which make returns for lists of the source columns' values.
+
+    Kept columns stay Arrow arrays from end to end: no integer beside a null becomes a float, no time changes its zone. Kept columns named like added
+    ones give way to them.
+    """
+    sources = [source] if isinstance(source, str) else source
+    new = T.StructType.fromDDL(added)
+    names = [c for c in (df.columns if keep is None else keep) if c not in new.names]
+    sent = df.select(*[F.col(f"`{c}`") for c in [*names, *[c for c in sources if c not in names]]])
+    at = [sent.columns.index(c) for c in sources]
+    wanted = T.StructType([*sent.schema.fields[: len(names)], *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = make(*[batch.column(i).to_pylist() for i in at])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], *[columns[n] for n in new.names]], names=[*names, *new.names])
+
+    return sent.mapInArrow(run, wanted)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -25,4 +25,6 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped
         if not jumped.filter("moved").limit(1).count():
             forget(both)
-            return labels.select("node", "component")
+            found = labels.select("node", "component")
+            found.stored_at = labels.stored_at
+            return found

@@ -1,38 +1,42 @@
 """N-gram Jaccard join with count vectors in R-trees.
 
 A document is the set of its word shingles. Shingles are hashed into groups; the counts by group make the document a point.
-The sum of two points' smaller coordinates bounds the sets' overlap from above. Points meet in blocks that share
-a necessary shingle (any linked pair shares one of the first shingles of either, in hash order). In a block, two R-trees are
-walked together: subtrees whose bound is too small, or which are one component already, are passed over; the pairs that
-survive are verified on the sets. A pair that shares several blocks comes from the first of them only.
+The sum of two points' smaller coordinates bounds the sets' overlap from above. Points are dealt over machines by necessary
+shingles: any linked pair shares one of the first shingles of either, in order of rarity, so frequent passages deal next to nothing.
+The points of a block stand in an R-tree that is joined with itself: pairs of subtrees whose bound is too small, or which are one
+component already, are passed over; the pairs that survive are verified on the sets.
 """
 
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapework.llm.common import forget, stored
+from tapework.llm.common import forget, made_from, partitions, stored
 from tapework.llm.graph import components
 from tapework.llm.wordhash import Words, batches, mix
 
-SHINGLE, GROUPS = 4, 32
+SHINGLE = 4
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: More groups for larger sets, so that a group counts about so many shingles at most: else unlike sets look alike. From FINE groups on, points
-#: grow more slowly than that.
-PER_GROUP, FINE, PER_GROUP_BEYOND = 2, 512, 8
-#: Earlier keys that a member of a block knows. Pairs that share none of these but another are listed more than once, and lose their repeats later.
-EARLIER = 64
-#: Points of a leaf; points of a block that one task joins, beyond which blocks are cut and their parts joined pair by pair.
-LEAF, BLOCK = 32, 4_000
+#: Groups of the points that are indexed: a fixed number, as a point travels with each of its keys.
+GROUPS = 128
+#: Counters of shingles in the corpus: a shingle is as frequent as all that share its counter, and rare ones come first. A counter serves about so many
+#: shingles, until there are as many counters as the table, a byte each, may have; a larger corpus then tells rare from frequent less finely.
+PER_COUNTER, MOST_COUNTERS, SLICE = 64, 1 << 22, 1 << 12
+#: Points of a leaf; points of a block that one task joins, beyond which blocks are cut.
+LEAF, BLOCK = 8, 4_000
 #: Heads of blocks that a set is compared with before blocks are searched; what they leave unlinked, the search finds.
-HEADS = 3
+HEADS = 2
+#: Sets that are compared with one other set in one task, about.
+ROOM = 500
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -57,67 +61,132 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    """So many of a set's first shingles that any set linked with it holds one of them."""
+    """So many of a set's first shingles that any set linked with it holds one of them, in whatever order all sets share."""
     return n - -(-percent * n // 100) + 1
 
 
-def point(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
-    """Counts of a set's shingles by group, a byte each. The number of groups is a power of two that grows with the set; halves add up to fewer groups."""
-    group = (mix(shingles) >> np.uint64(40)).astype(np.int64)
-    while len(shingles) > (PER_GROUP if groups < FINE else PER_GROUP_BEYOND) * groups or np.bincount(group % groups, minlength=groups).max(initial=0) > 255:
+def _group(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) >> np.uint64(24)).astype(np.int64)
+
+
+def point(shingles: np.ndarray) -> bytes:
+    """Counts of a set's shingles by group, of one byte each, or of more where a count needs them."""
+    counts = np.bincount(_group(shingles) % GROUPS, minlength=GROUPS)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint16 if counts.max() < 65536 else np.uint32).tobytes()
+
+
+def fine_point(shingles: np.ndarray) -> bytes:
+    """Counts by at least as many groups as there are shingles, four bits each. The number of groups is a power of two; halves add up to fewer groups."""
+    group, groups = _group(shingles), 16
+    while groups < len(shingles):
         groups *= 2
-    return np.bincount(group % groups, minlength=groups).astype(np.uint8).tobytes()
+    while (counts := np.bincount(group % groups, minlength=groups)).max() > 15:
+        groups *= 2
+    counts = counts.astype(np.uint8)
+    return (counts[: groups // 2] | counts[groups // 2 :] << 4).tobytes()
 
 
-def folded(points: list[bytes]) -> np.ndarray:
-    """Points as rows of one matrix, with as many groups as the smallest has."""
-    groups = min(map(len, points))
-    return np.array([np.frombuffer(p, np.uint8).reshape(-1, groups).sum(0, dtype=np.int32) for p in points])
+def unpacked(points: list[bytes]) -> np.ndarray:
+    """Points as rows of a matrix."""
+    if all(len(p) == GROUPS for p in points):
+        return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
+    return np.array([np.frombuffer(p, kinds[len(p)]).astype(np.int32) for p in points])
 
 
-def prints(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, sig1, sig2 (hashes of the whole set), prefix (its first shingles), point (its counts by group)."""
+def overlap_bound(x: bytes, y: bytes) -> int:
+    """The summed minima of two fine points; the finer one is folded to the other's groups."""
+    p, q = (np.frombuffer(z, np.uint8) for z in (x, y))
+    p, q = (np.concatenate([z & 15, z >> 4]) for z in (p, q))
+    if len(p) > len(q):
+        p, q = q, p
+    return int(np.minimum(p, q.reshape(-1, len(p)).sum(0, dtype=np.int32)).sum())
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for _, group in batches(list(frame["text"])):
-                for s in shingle_sets(group):
-                    mark = [int(np.bitwise_xor.reduce(x).view(np.int64)) if len(s) else 0 for x in (mix(s), mix(s ^ np.uint64(0x5851F42D4C957F2D)))]
-                    rows.append((len(s), *mark, s[: prefix_length(len(s), percent)].view(np.int64) if len(s) else [], point(s)))
-            yield pd.DataFrame(rows, columns=["n", "sig1", "sig2", "prefix", "point"]).assign(doc_id=frame["doc_id"].astype("Int64").to_numpy())[["doc_id", "n", "sig1", "sig2", "prefix", "point"]]
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, sig1 long, sig2 long, prefix array<long>, point binary")
+def _counter(shingles: np.ndarray, counters: int) -> np.ndarray:
+    return (shingles >> np.uint64(65 - counters.bit_length())).astype(np.int64)  # the first bits, of a power of two of counters
 
 
-def whole_sets(docs: DataFrame) -> DataFrame:
-    """rep, shingles (sorted, as bytes) of docs' rows rep, text."""
+def rarity(docs: DataFrame, k: int = SHINGLE) -> np.ndarray:
+    """For each counter, how often its shingles occur in all texts, as a power of two of the mean; 0 up to twice the mean. All texts are counted."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counters = SLICE
+    while counters < MOST_COUNTERS and counters * PER_COUNTER * 6 < size:
+        counters *= 2
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(counters, np.int64)
         for frame in frames:
-            rows = [s.tobytes() for _, group in batches(list(frame["text"])) for s in shingle_sets(group)]
-            yield pd.DataFrame({"rep": frame["rep"].to_numpy(), "shingles": rows})
-
-    return docs.select("rep", "text").mapInPandas(run, "rep long, shingles binary")
+            for _, group in batches(frame.column(0).to_pylist()):
+                words = Words(group, lower=True)
+                runs = words.runs(k)
+                seen += np.bincount(_counter(runs[words.whole(k)], counters), minlength=counters)
+        parts = seen.reshape(-1, SLICE)
+        some = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([zlib.compress(parts[i].astype(np.uint32).tobytes(), 1) for i in some], pa.binary())], names=["slice", "counts"])
+
+    def add(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for frame in frames:
+            for i, part in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist(), strict=True):
+                sums.setdefault(i, np.zeros(SLICE, np.int64))
+                sums[i] += np.frombuffer(zlib.decompress(part), np.uint32)
+        # An eighth of a power of two is fine enough, and a byte each is all that reaches the driver.
+        logs = [np.round(8 * np.log2(np.maximum(x, 1))).clip(0, 255).astype(np.uint8).tobytes() for x in sums.values()]
+        total = [int(x.sum()) for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(logs, pa.binary()), pa.array(total, pa.int64())], names=["slice", "logs", "total"])
+
+    rows = docs.select("text").mapInArrow(count, "slice long, counts binary").repartition(partitions(docs.sparkSession), "slice").mapInArrow(add, "slice long, logs binary, total long").collect()  # MOST_COUNTERS bytes
+    logs = np.zeros(counters, np.float64)
+    for row in rows:
+        logs[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["logs"], np.uint8) / 8
+    mean = max(sum(r["total"] for r in rows) / counters, 1.0)
+    return np.floor((logs - np.log2(mean)).clip(0)).astype(np.uint8)
+
+
+def prints(docs: DataFrame, often: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n, sig1, sig2 (hashes of the whole set), prefix (its rarest shingles), point and fine (its counts by group)."""
+
+    def make(texts: list[str | None]) -> dict[str, pa.Array]:
+        n, sig1, sig2, prefix, points, fine = [], [], [], [], [], []
+        for _, group in batches(texts):
+            for s in shingle_sets(group):
+                n.append(len(s))
+                sig1.append(np.bitwise_xor.reduce(mix(s)) if len(s) else 0)
+                sig2.append(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) if len(s) else 0)
+                rank = often[_counter(s, len(often))]
+                first = s[np.argsort(rank, kind="stable")] if rank.any() else s
+                prefix.append(first[: prefix_length(len(s), percent)] if len(s) else first)
+                points.append(point(s))
+                fine.append(fine_point(s))
+        offsets = np.zeros(len(prefix) + 1, np.int32)
+        np.cumsum([len(p) for p in prefix], out=offsets[1:])
+        values = np.concatenate(prefix).view(np.int64) if prefix else np.zeros(0, np.int64)
+        whole = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+        return {"n": pa.array(n, pa.int64()), "sig1": whole(sig1), "sig2": whole(sig2), "prefix": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), "point": pa.array(points, pa.binary()), "fine": pa.array(fine, pa.binary())}
+
+    return made_from(docs.select(F.col("doc_id").cast("long"), "text"), "text", make, "n long, sig1 long, sig2 long, prefix array<long>, point binary, fine binary", keep=["doc_id"])
 
 
 class Tree:
-    """An R-tree over points, packed by median splits: boxes by node, and the component if all points below share one."""
+    """An R-tree over points, packed by median splits: boxes by node, and the component if all points below share one.
+
+    compared counts the pairs of points that its joins have looked at one by one.
+    """
 
     def __init__(self, x: np.ndarray, n: np.ndarray, component: np.ndarray, leaf: int = LEAF):
-        self.x, self.n, self.component, self.leaf = x, n, component, leaf
+        self.x, self.n, self.component, self.leaf, self.compared = x, n, component, leaf, 0
         self.nodes: list[tuple] = []  # (rows, children, top corner, least n, most n, component or None)
         self._build(np.arange(len(x)))
 
     def _build(self, rows: np.ndarray) -> int:
-        own = set(self.component[rows[:64]].tolist())
-        one = own.pop() if len(own) == 1 and (self.component[rows] == self.component[rows[0]]).all() else None
-        at, n = len(self.nodes), self.n[rows]
-        self.nodes.append((rows, (), self.x[rows].max(0), n.min(), n.max(), one))
+        one = self.component[rows[0]] if (self.component[rows] == self.component[rows[0]]).all() else None
+        at, n, top = len(self.nodes), self.n[rows], self.x[rows].max(0)
+        self.nodes.append((rows, (), top, int(n.min()), int(n.max()), one))
         if len(rows) > self.leaf:
-            spread = self.x[rows].max(0) - self.x[rows].min(0)
+            spread = top - self.x[rows].min(0)
             # The set's size is a coordinate too: it is the one that varies most between unlike documents.
-            key = self.n[rows] if np.ptp(self.n[rows]) > 4 * spread.max() else self.x[rows, int(spread.argmax())]
+            key = n if np.ptp(n) > 4 * spread.max() else self.x[rows, int(spread.argmax())]
             order = rows[np.argsort(key, kind="stable")]
             half = len(order) // 2
             children = (self._build(order[:half]), self._build(order[half:]))
@@ -135,13 +204,14 @@ class Tree:
                 continue
             if 100 * min(most_a, most_b) < percent * max(least_a, least_b):
                 continue
-            if (100 + percent) * int(np.minimum(top_a, top_b).sum()) < percent * int(least_a + least_b):
+            if (100 + percent) * int(np.minimum(top_a, top_b).sum()) < percent * (least_a + least_b):
                 continue
             if below_a and (not below_b or len(rows_a) >= len(rows_b)):
                 todo += [(below_a[0], below_a[0]), (below_a[0], below_a[1]), (below_a[1], below_a[1])] if a == b else [(c, b) for c in below_a]
             elif below_b:
                 todo += [(a, c) for c in below_b]
             else:
+                self.compared += len(rows_a) * len(rows_b) if a != b else len(rows_a) * (len(rows_a) - 1) // 2
                 bound = np.minimum(self.x[rows_a][:, None, :], self.x[rows_b][None, :, :]).sum(2, dtype=np.int64)
                 ok = (100 + percent) * bound >= percent * (self.n[rows_a][:, None] + self.n[rows_b][None, :])
                 ok &= self.component[rows_a][:, None] != self.component[rows_b][None, :]
@@ -154,128 +224,140 @@ class Tree:
                     yield rows_a[i], rows_b[j]
 
 
-def gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs in larger lots, of `most` at least but for the last."""
-    lot: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-    for pair in pairs:
-        lot.append(pair)
-        size += len(pair[0])
-        if size >= most:
-            yield tuple(np.concatenate(x) for x in zip(*lot, strict=True))
-            lot, size = [], 0
-    if lot:
-        yield tuple(np.concatenate(x) for x in zip(*lot, strict=True))
+def blocks(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """key, rep of the sets (rep, n, prefix) that share a key with another of a like size. Blocks are read as they come and never held."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row: key, n, rep, and whether the row before it is near
+        for frame in itertools.chain(frames, [None]):
+            if frame is None:
+                if held is not None and held[3]:
+                    yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([held[2]])], names=["key", "rep"])
+                return
+            key, n, rep = (frame.column(i).to_numpy() for i in range(3))
+            if not len(key):
+                continue
+            if held is not None:
+                key, n, rep = (np.r_[h, x] for h, x in zip(held[:3], (key, n, rep), strict=True))
+            near = (key[1:] == key[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            before = np.r_[held[3] if held is not None else False, near]
+            keep = np.flatnonzero(before[:-1] | near)
+            held = (key[-1], n[-1], rep[-1], bool(before[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(rep[keep])], names=["key", "rep"])
 
+    keys = classes.select(F.explode("prefix").alias("key"), "n", "rep")
+    dealt = keys.repartition(partitions(keys.sparkSession), "key").sortWithinPartitions("key", "n", "rep")
+    return dealt.mapInArrow(run, "key long, rep long")
 
-def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose points allow a link."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keep = []
-            for x, y, n in zip(frame["x"], frame["y"], frame["n"], strict=True):
-                p, q = folded([x, y])
-                keep.append((100 + percent) * int(np.minimum(p, q).sum()) >= percent * n)
-            yield frame.loc[keep, ["a", "b"]]
+def stars(members: DataFrame, classes: DataFrame, heads: int = HEADS) -> DataFrame:
+    """a, b: each set b against the few pivots that it shares most keys with. A block's pivot is the set that shares the largest part of its keys with others.
 
-    first = pairs.join(points.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("point").alias("x")), "a")
-    both = first.join(points.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("point").alias("y")), "b")
-    return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "x", "y").mapInPandas(run, "a long, b long")
+    The text that a family was copied from shares nearly all its keys; a copy has keys of its own where it was changed.
+    """
+    share = members.groupBy("rep").agg(F.count(F.lit(1)).alias("k")).join(classes.select("rep", F.size("prefix").alias("of")), "rep")
+    share = share.groupBy("rep").agg(F.max(F.col("k") / F.col("of")).alias("share"))
+    order = F.struct("share", (-F.col("rep")).alias("low"))
+    pivots = members.join(share, "rep").groupBy("key").agg(F.max(order).alias("p")).select("key", (-F.col("p.low")).alias("pivot"))
+    shared = members.join(pivots, "key").filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("k"))
+    best = shared.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("k", (-F.col("pivot")).alias("low"))), asc=False).alias("pivots"))
+    return best.select(F.explode(F.transform(F.slice("pivots", 1, heads), lambda h: -h["low"])).alias("a"), F.col("rep").alias("b"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked; sets are made anew from the texts of the documents in question."""
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose fine points allow a link."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            keep = []
-            for x, y in zip(frame["x"], frame["y"], strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                both = int((q[np.minimum(at, len(q) - 1)] == p).sum()) if len(p) else 0
-                keep.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
+            keep = [(100 + percent) * overlap_bound(x, y) >= percent * n for x, y, n in zip(frame["x"], frame["y"], frame["n"], strict=True)]
             yield frame.loc[keep, ["a", "b"]]
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    sets = stored(whole_sets(docs.join(needed, "rep")))
-    first = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
-    links = stored(first.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct())
-    forget(sets)
-    return links
-
-
-def _size_class(percent: int):
-    # Linked sets are of the same or neighbouring classes.
-    return F.floor(F.log(F.col("n").cast("double")) / F.lit(-float(np.log(percent / 100))) + F.lit(1e-9)).cast("int")
-
-
-def _meet_earlier(earlier: list[np.ndarray], i: np.ndarray, j: np.ndarray, chunk: int = 4096) -> np.ndarray:
-    """For pairs of rows (i, j), whether their lists of keys have one in common. Keys are looked at in chunks, which bounds the table of bits."""
-    met = np.zeros(len(i), bool)
-    lengths = [len(e) for e in earlier]
-    if not sum(lengths):
-        return met
-    row = np.repeat(np.arange(len(earlier)), lengths)
-    _, key, times = np.unique(np.concatenate(earlier), return_inverse=True, return_counts=True)
-    # Only keys that two rows have can meet; the most frequent come first.
-    rank = np.empty(len(times), np.int64)
-    rank[np.argsort(-times, kind="stable")] = np.arange(len(times))
-    key, n = rank[key], int((times > 1).sum())
-    for low in range(0, n, chunk):
-        open_ = np.flatnonzero(~met)
-        if not len(open_):
-            break
-        here = (key >= low) & (key < min(low + chunk, n))
-        bits = np.zeros((len(earlier), min(chunk, n - low)), bool)
-        bits[row[here], key[here] - low] = True
-        bits = np.packbits(bits, axis=1)
-        for k in range(0, len(open_), 100_000):
-            some = open_[k : k + 100_000]
-            met[some] = (bits[i[some]] & bits[j[some]]).any(1)
-    return met
+    sizes = lambda k: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"))
+    fine = lambda k, x: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("fine").alias(x))
+    like = f"100 * na >= {percent} * nb AND 100 * nb >= {percent} * na"
+    # Sizes first: points travel only with pairs of a like size.
+    sized = pairs.join(sizes("a"), "a").join(sizes("b"), "b").filter(like).select("a", "b").distinct()
+    both = sized.join(fine("a", "x"), "a").join(fine("b", "y"), "b").filter(like)
+    return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "x", "y").mapInPandas(run, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are linked; sets are made anew from the texts (rep, text) of the documents in question.
+
+    A set travels once for each a that it is compared with, not once for each pair of two sets; those of one a arrive in slices, each behind a copy of a's own.
+    """
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / ROOM).cast("int").alias("slices"))
+    rooms = pairs.join(sizes, "a").select("a", "b", F.pmod(F.hash("b"), F.col("slices")).alias("s"))
+    # A document waits in each room where it is b, and as a in every slice of its own that has a b.
+    asks = rooms.select(F.col("b").alias("rep"), "a", "s", F.lit(1).alias("later")).unionByName(rooms.select(F.col("a").alias("rep"), "a", "s", F.lit(0).alias("later")).distinct())
+    wanted = asks.groupBy("rep").agg(F.collect_list(F.struct("a", "s", "later")).alias("rooms"))
+
+    def sets(texts: list[str | None]) -> dict[str, pa.Array]:
+        return {"shingles": pa.array([s.tobytes() for _, group in batches(texts) for s in shingle_sets(group)], pa.binary())}
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room, own = None, []
+        for frame in frames:
+            found = []
+            for a, s, later, b, x in zip(*[frame.column(i).to_pylist() for i in range(5)], strict=True):
+                if room != (a, s):
+                    room, own = (a, s), []
+                q = np.frombuffer(x, np.uint64)
+                if not later:
+                    own.append(q)
+                    continue
+                for p in own:
+                    small, large = (p, q) if len(p) <= len(q) else (q, p)
+                    at = np.searchsorted(large, small)
+                    both = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(small) else 0
+                    if both > 0 and 100 * both >= percent * (len(p) + len(q) - both):
+                        found.append((a, b))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    here = made_from(texts.join(wanted, "rep"), "text", sets, "shingles binary", keep=["rep", "rooms"])
+    dealt = here.select("rep", "shingles", F.explode("rooms").alias("r")).select("r.a", "r.s", "r.later", "rep", "shingles")
+    dealt = dealt.repartition(partitions(texts.sparkSession), "a", "s").sortWithinPartitions("a", "s", "later")
+    return stored(dealt.mapInArrow(run, "a long, b long").distinct())
+
+
+def gathered(lots: Iterator[tuple[np.ndarray, ...]], most: int = 500_000) -> Iterator[tuple[np.ndarray, ...]]:
+    """The same rows in larger lots, of `most` at least but for the last."""
+    held, size = [], 0
+    for lot in lots:
+        held.append(lot)
+        size += len(lot[0])
+        if size >= most:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
 def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int) -> DataFrame:
-    """a, b: distinct pairs of different components that survive the bound, of members (key, rep, n, component).
+    """a, b: distinct pairs of different components that survive the bound, of members (key, rep, component).
 
-    Members know their earlier keys and their own class of size, so that a pair is listed under its first key alone, in the larger of its classes.
+    A block that is too large for a task is cut. Its largest component needs no comparison with itself: its parts each meet the parts of the rest, and only the
+    rest's parts meet one another.
     """
-    sets = members.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    keyed = sets.select("rep", "n", "component", "keys", F.posexplode("keys").alias("before", "key")).select("key", "rep", "n", "component", F.slice("keys", F.lit(1), F.least("before", F.lit(EARLIER))).alias("earlier"))
-    placed = stored(keyed.withColumn("own", _size_class(percent)).withColumn("class", F.explode(F.array(F.col("own"), F.col("own") + 1))))
-    sizes = placed.groupBy("key", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("own").alias("top")).filter("low <> high AND top = class").select("key", "class", "cuts")
-    part = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
-    # A block that is too large for a task is cut, and each part meets each other part in a task of its own.
-    cut = placed.join(sizes, ["key", "class"]).join(points.select("rep", "point"), "rep").withColumn("side", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    cut = cut.withColumns({"p": F.least("side", "other"), "q": F.greatest("side", "other")})
-    names = ["key", "class", "p", "q"]
-
-    def listed(i: np.ndarray, j: np.ndarray, rep: np.ndarray, earlier: np.ndarray) -> Iterator[pd.DataFrame]:
-        new = ~_meet_earlier(list(earlier), i, j)
-        i, j = i[new], j[new]
-        yield pd.DataFrame({"a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j])})
-
-    def joined(rep, n, component, side, upper, point, earlier) -> Iterator[pd.DataFrame]:
-        if len(rep) > LEAF:
-            tree = Tree(folded(list(point)), n, component)
-            for pairs in gathered(tree.pairs(percent, side)):
-                either = upper[pairs[0]] | upper[pairs[1]]
-                yield from listed(pairs[0][either], pairs[1][either], rep, earlier)
-            return
-        # A tree of one leaf: what sizes and components leave is bounded pair by pair.
-        i, j = np.triu_indices(len(rep), 1)
-        ok = (component[i] != component[j]) & (upper[i] | upper[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-        if side is not None:
-            ok &= side[i] != side[j]
-        if ok.any():
-            i, j = i[ok], j[ok]
-            x = folded(list(point))
-            ok = (100 + percent) * np.minimum(x[i], x[j]).sum(1, dtype=np.int64) >= percent * (n[i] + n[j])
-            if ok.any():
-                yield from listed(i[ok], j[ok], rep, earlier)
+    by = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = by.groupBy("key").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    parts = lambda n: F.ceil(n / block).cast("int")
+    small = F.col("n") <= block
+    sizes = sizes.filter("components > 1").select("key", F.when(~small, F.col("main")).alias("main"), F.when(small, 1).otherwise(parts(F.col("most"))).alias("mains"), F.when(small, 1).otherwise(parts(F.col("n") - F.col("most"))).alias("others"), small.alias("small"))
+    placed = members.join(sizes, "key").withColumn("is_main", F.col("component").eqNullSafe(F.col("main")))
+    h = F.xxhash64("rep")
+    own = F.when(F.col("is_main"), F.pmod(h, F.col("mains"))).otherwise(F.pmod(h, F.col("others"))).cast("int")
+    room = lambda kind, p, q, side, cross: F.struct(F.lit(kind).alias("kind"), p.cast("int").alias("p"), q.cast("int").alias("q"), side.cast("int").alias("side"), cross.alias("cross"))
+    zero, each = F.lit(0), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    main_rooms = F.transform(each("others"), lambda p: room(1, p, own, zero, F.lit(True)))
+    rest_rooms = F.concat(
+        F.transform(each("mains"), lambda q: room(1, own, q, F.lit(1), F.lit(True))),
+        F.transform(each("others"), lambda q: room(2, F.least(own, q), F.greatest(own, q), own, own != q)),
+    )
+    rooms = F.when(F.col("small"), F.array(room(0, zero, zero, zero, F.lit(False)))).when(F.col("is_main"), main_rooms).otherwise(rest_rooms)
+    cut = placed.select("key", "rep", "component", F.explode(rooms).alias("r")).select("key", "r.*", "rep", "component")
+    names = ["key", "kind", "p", "q"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by block; the last block of a frame may go on in the next.
@@ -287,16 +369,20 @@ def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int
                 continue
             key = frame[names].to_numpy()
             starts = [*np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)]), len(key)]
-            columns = [frame[c].to_numpy() for c in ("rep", "n", "component", "side")]
-            columns += [frame["own"].to_numpy() == frame["class"].to_numpy(), frame["point"].to_numpy(), frame["earlier"].to_numpy()]
+            columns = [frame[c].to_numpy() for c in ("rep", "n", "component", "side", "cross", "point")]
+            found = []
             for a, b in itertools.pairwise(starts if last else starts[:-1]):
                 if b - a > 1:
-                    rep, n, component, side, *others = (c[a:b] for c in columns)
-                    yield from joined(rep, n, component, side if key[a, 2] != key[a, 3] else None, *others)
+                    rep, n, component, side, cross, x = (c[a:b] for c in columns)
+                    for i, j in gathered(Tree(unpacked(list(x)), n, component).pairs(percent, side if cross.any() else None)):
+                        found.append((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])))
+            if found:
+                yield pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])}).drop_duplicates()
             rest = None if last else frame.iloc[starts[-2] :]
 
-    dealt = cut.select(*names, "own", "rep", "n", "component", "side", "earlier", "point").repartition(*names).sortWithinPartitions(*names)
-    return dealt.mapInPandas(run, "a long, b long").distinct()
+    dealt = cut.join(points.select("rep", "n", "point"), "rep").repartition(partitions(cut.sparkSession), *names).sortWithinPartitions(*names)
+    # A room in which every pair counts may hold rows of both kinds: side tells them apart only where cross is set.
+    return dealt.select(*names, "rep", "n", "component", "side", "cross", "point").mapInPandas(run, "a long, b long").filter("a <> b").distinct()
 
 
 def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -305,35 +391,32 @@ def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataF
     Null, empty and wordless texts have an empty set and link with nothing; a null doc_id has a null component. Rows with the same set collapse before
     anything is paired. Rows that repeat a doc_id are one node, whose sets all count. Other columns are ignored and an empty table gives none.
     """
-    marks = stored(prints(docs, percent))
+    marks = stored(prints(docs, rarity(docs), percent))
     sig = ["sig1", "sig2", "n"]
     some = marks.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
-    keys = classes.select(F.explode("prefix").alias("key"), "rep")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot <> last").select("key", "pivot")
-    members = stored(keys.join(shared, "key"))
-    points = stored(some.groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.first("point").alias("point")))
-    sizes = points.groupBy("rep").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    classes = stored(some.groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("point").alias("point"), F.first("fine").alias("fine")))
+    points = classes.select("rep", "n", "point")
+    members = stored(blocks(classes, percent))
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    # First every set against the few heads of blocks that it shares most keys with: families of near copies become components in linear time.
-    heads = members.filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n")).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", (-F.col("pivot")).alias("low"))), asc=False).alias("heads"))
-    stars = heads.select(F.explode(F.transform(F.slice("heads", 1, HEADS), lambda h: -h["low"])).alias("a"), F.col("rep").alias("b"))
-    a, b = (sizes.select(F.col("rep").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}")) for x in "ab")
-    stars = stars.join(a, "a").join(b, "b").filter(f"100 * most_b >= {percent} * least_a AND 100 * most_a >= {percent} * least_b").select("a", "b")
-    near = stored(_bounded(stars, points, percent).distinct())
-    links = _verified(near, texts, percent)
-    first = stored(components(links))
-    # Then, in blocks that still hold several components, the pairs across them.
-    known = points.select("rep", "n").join(first, points["rep"] == first["node"], "left").select("rep", "n", F.coalesce("component", "rep").alias("component"))
-    labelled = members.select("key", "rep").join(known, "rep")
+    # First every set against a few pivots: families of near copies become components in linear time.
+    tried = stored(_bounded(stars(members, classes), classes, percent))
+    links = _verified(tried, texts, percent)
+    # Then, in blocks that still hold several components, the trees' pairs across them.
+    found = components(links)
+    known = points.select("rep").distinct().join(found, F.col("rep") == found["node"], "left").select("rep", F.coalesce("component", "rep").alias("component"))
+    labelled = members.join(known, "rep")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    more = stored(_block_pairs(labelled.join(mixed, "key"), points, percent, block).join(near, ["a", "b"], "left_anti"))
-    every = stored(links.unionByName(_verified(more, texts, percent)))
-    final = components(every)
-    forget(members, near, more)
-    named = points.select(*sig, "rep").join(final, points["rep"] == final["node"], "left").select(*sig, F.coalesce("component", "rep").alias("component_id"))
+    dealt = stored(labelled.join(mixed, "key"))
+    sides = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = stored(_bounded(_block_pairs(dealt, points, percent, block).join(sides, ["a", "b"], "left_anti"), classes, percent))
+    forget(members, tried, found, dealt)
+    links = links.unionByName(_verified(more, texts, percent))
+    final = components(links)
+    named = classes.select(*sig, "rep").join(final, F.col("rep") == final["node"], "left").select(*sig, F.coalesce("component", "rep").alias("component_id"))
     result = marks.select("doc_id", *sig).join(named, sig, "left")
-    return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    result = stored(result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    forget(marks, classes, final)
+    return result
 
 
 JOIN_SQL = r"""
