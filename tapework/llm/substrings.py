@@ -1,27 +1,36 @@
 """Incremental substring deduplication with a log-structured fingerprint index.
 
 Documents come in batches, in order of their ids. Of each batch, selected window fingerprints (the smallest of the hashes inside a
-window, so that equal windows select alike) become a run: a stored table sorted by hash that never changes. A new batch's run is
-merge-joined with the historical runs. Where hashes meet, the windows around them are made anew from the texts
-and verified by two independent hashes of their words, 96 bits in all. Runs are compacted into one when there are several.
+window, so that equal windows select alike) become a run: an immutable table, dealt into buckets by fingerprint and sorted, that also holds
+the hashes of the windows around each place. A new run is merge-joined with the historical runs, bucket by bucket: history is read, never
+shuffled again. Where fingerprints meet, the windows are compared by hashes of other origin, 128 bits in all. When there are several
+runs they are compacted into one. The index lives in a folder and can be opened again.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapework.llm.common import forget, stored
-from tapework.llm.wordhash import FIRST, SECOND, Words, batches
+from tapework.llm.common import CLEANUP, delete, made_from, partitions, setting, shared_dir, stored
+from tapework.llm.wordhash import SECOND, Words, batches
 
-#: Words of a window, words of a fingerprint inside it, batches, and runs that are compacted into one.
-WINDOW, GRAM, BATCHES, FAN_IN = 20, 10, 2, 2
+#: Words of a window, words of a fingerprint inside it, batches, and runs that may stand side by side before they are compacted into one.
+WINDOW, GRAM, BATCHES, FAN_IN = 20, 10, 4, 2
+#: Bytes of text whose repeats are found before anything is dealt.
+BATCH = 3_000_000
 LEAST = -(2**63)
+#: Spark may take a union of tables that are dealt alike for dealt so too, and then reads them in another way: what meets in it is shuffled.
+UNIONS = "spark.sql.unionOutputPartitioning"
+RUN = "key long, d long, r long, first int, windows array<long>, sure array<int>"
+MANIFEST = "version int, path string, buckets int, upto long, window int, gram int"
 
 
 def _selected(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,188 +52,198 @@ def _selected(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndar
 
 
 def fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """key, d, h, pos, more: the selected fingerprints of documents (d, h, text).
+    """The rows of a run for documents (d, r, text): a fingerprint (key), its document, and the hashes of the windows that select it, from the start `first` on.
 
-    Of equal fingerprints in the rows that a task sees together, only the earliest is listed, so that no passage is listed for each of its
-    copies; more tells that there were others. Those others' places are in a row for their document, in `places`.
+    Of equal windows in the rows that a task sees together, only the earliest is listed, so that no passage is listed for each of its
+    copies; the others' starts are in one row for their document, in `sure`.
     """
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame = frame.sort_values(["d", "h"], kind="stable")
-            d, h, texts = frame["d"].to_numpy(), frame["h"].to_numpy(), list(frame["text"])
-            for first, group in batches(texts):
-                words = Words(group)
-                _, at, grams = _selected(words, window, gram)
-                at = np.unique(at)
-                key = grams[at].view(np.int64)
-                order = np.lexsort((at, key))  # places ascend with (d, h)
-                new = np.r_[True, key[order][1:] != key[order][:-1]] if len(order) else np.zeros(0, bool)
-                lead = order[new]
-                more = np.diff(np.r_[np.flatnonzero(new), len(order)]) > 1
-                doc = words.doc[at]
-                pos = (at - words.first[doc]).astype(np.int32)
-                listed = pd.DataFrame({"key": key[lead], "d": d[first + doc[lead]], "h": h[first + doc[lead]], "pos": pos[lead], "more": more})
-                listed["places"] = None
-                yield listed
-                others = np.sort(order[~new])
-                if len(others):
-                    cut = np.flatnonzero(np.r_[True, doc[others][1:] != doc[others][:-1]])
-                    own = doc[others][cut]
-                    yield pd.DataFrame({"key": h[first + own], "d": d[first + own], "h": h[first + own], "pos": np.int32(-1), "more": False, "places": np.split(pos[others], cut[1:])})
-
-    return docs.select("d", "h", "text").mapInPandas(run, "key long, d long, h long, pos int, more boolean, places array<int>")
+    def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
+        offsets = np.zeros(len(lengths) + 1, np.int32)
+        np.cumsum(lengths, out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind.value_type))
 
-
-def _windows(suspects: DataFrame, window: int, gram: int) -> DataFrame:
-    """Of documents (d, h, text, places): their windows that select one of the places, each once for the rows that a task sees together (w1, w2, start), and what repeats those, by document (starts)."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "d", "r", "first", "windows", "sure"]
         for frame in frames:
-            frame = frame.sort_values(["d", "h"], kind="stable")
-            d, h, texts, places = frame["d"].to_numpy(), frame["h"].to_numpy(), list(frame["text"]), list(frame["places"])
-            for first, group in batches(texts):
+            d, r, texts = frame.column(0).to_numpy(), frame.column(1).to_numpy(), frame.column(2).to_pylist()
+            order = np.lexsort((r, d))
+            d, r, texts = d[order], r[order], [texts[i] for i in order]
+            for first, group in batches(texts, BATCH):
                 words = Words(group)
-                starts, at, _ = _selected(words, window, gram)
-                wanted = np.concatenate([np.asarray(places[first + i], np.int64) + words.first[i] for i in range(len(group))])
-                flag = np.zeros(len(words.hash) + 1, bool)
-                flag[wanted[wanted < len(words.hash)]] = True
-                starts = starts[flag[at]]
-                w1, w2 = words.runs(window, FIRST)[starts].view(np.int64), (words.runs(window, SECOND)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                order = np.lexsort((starts, w2, w1))
-                new = np.r_[True, (w1[order][1:] != w1[order][:-1]) | (w2[order][1:] != w2[order][:-1])] if len(order) else np.zeros(0, bool)
-                # In order of place: neighbours share their document, which packs well.
-                lead, doc = np.sort(order[new]), words.doc[starts]
-                place = (starts - words.first[doc]).astype(np.int32)
-                listed = pd.DataFrame({"w1": w1[lead], "w2": w2[lead], "d": d[first + doc[lead]], "h": h[first + doc[lead]], "start": place[lead]})
-                listed["starts"] = None
-                yield listed
-                # Equal rows of the table are one document: only a start in another place or document is earlier.
-                others = np.sort(order[~new])
-                if len(others):
-                    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-                    of = np.empty(len(order), np.int64)
-                    of[order] = head
-                    a, b = first + doc[others], first + doc[of[others]]
-                    others = others[(d[a] != d[b]) | (h[a] != h[b]) | (place[others] != place[of[others]])]
+                starts, at, grams = _selected(words, window, gram)
+                if not len(starts):
+                    continue
+                w, key = words.runs(window, SECOND, other=True)[starts], grams[at]
+                by = np.lexsort((starts, key, w))
+                new = np.r_[True, (w[by][1:] != w[by][:-1]) | (key[by][1:] != key[by][:-1])]
+                is_new = np.zeros(len(starts), bool)
+                is_new[by[new]] = True
+                # The windows that select one place stand side by side; a row runs from its first to its last new one.
+                edge = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+                index = np.arange(len(starts))
+                low = np.minimum.reduceat(np.where(is_new, index, len(starts)), edge)
+                high = np.maximum.reduceat(np.where(is_new, index, -1), edge)
+                low, high = low[high >= 0], high[high >= 0]
+                n = high - low + 1
+                inside = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                doc = words.doc[starts[low]]
+                place = (starts[low] - words.first[doc]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(key[low].view(np.int64)), pa.array(d[first + doc]), pa.array(r[first + doc]), pa.array(place), lists(w[inside].view(np.int64), n, longs), pa.nulls(len(low), ints)], names=names)
+                others = np.flatnonzero(~is_new)
                 if len(others):
-                    cut = np.flatnonzero(np.r_[True, doc[others][1:] != doc[others][:-1]])
-                    own = doc[others][cut]
-                    yield pd.DataFrame({"w1": h[first + own], "w2": np.int32(0), "d": d[first + own], "h": h[first + own], "start": np.int32(-1), "starts": np.split(place[others], cut[1:])})
+                    owner = words.doc[starts[others]]
+                    cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                    doc = owner[cut]
+                    place = (starts[others] - words.first[owner]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(d[first + doc]), pa.array(d[first + doc]), pa.array(r[first + doc]), pa.array(np.zeros(len(doc), np.int32)), pa.nulls(len(doc), longs), lists(place, np.diff(np.r_[cut, len(others)]), ints)], names=names)
 
-    return suspects.select("d", "h", "text", "places").mapInPandas(run, "w1 long, w2 int, d long, h long, start int, starts array<int>")
+    return docs.select("d", "r", "text").mapInArrow(run, RUN)
 
 
 class SubstringIndex:
-    """The runs of all batches so far, and the documents behind them, which verification reads again."""
-
-    def __init__(self, documents: DataFrame, window: int = WINDOW, gram: int = GRAM, fan_in: int = FAN_IN):
-        self.documents, self.window, self.gram, self.fan_in = documents, window, gram, fan_in
-        self.runs: list[DataFrame] = []
-        #: Windows made so far, around every place whose fingerprint was not the only one of its kind.
-        self.windows: list[DataFrame] = []
-        #: Their fingerprints: what has been made for a batch is not made again for the next.
-        self.met: list[DataFrame] = []
-
-    def add(self, batch: DataFrame, after: int | None = None, last: bool = False) -> DataFrame:
-        """Indexes a batch (d, h, text) of ids above `after`, later in order than all before; d, h, starts: its windows that also start earlier.
-
-        Each file of a new run is sorted by itself; compaction deals them by hash and sorts them into one. Of the last batch of all nothing
-        is kept that only a later one would need.
+    """An index in a folder: its runs, and a manifest that names those in force. A folder with a manifest is opened, another one is begun."""
+
+    def __init__(self, spark: SparkSession, folder: str, window: int = WINDOW, gram: int = GRAM, fan_in: int = FAN_IN):
+        self.spark, self.folder, self.window, self.gram, self.fan_in = spark, folder, window, gram, fan_in
+        self.buckets, self.version, self.compactions = partitions(spark), 0, 0
+        self.upto: int | None = None
+        self.runs: list[tuple[str, str]] = []  # (table, path)
+        for row in self._manifest():
+            if (row["window"], row["gram"]) != (window, gram):
+                raise ValueError(f"{folder} holds windows of {row['window']} words with fingerprints of {row['gram']}")
+            self.version, self.buckets, self.upto = row["version"], row["buckets"], row["upto"]
+            self.runs.append((self._named(row["path"]), row["path"]))
+
+    def _manifest(self) -> list:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/manifest")
+        if not place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            return []
+        rows = self.spark.read.schema(MANIFEST).option("recursiveFileLookup", "true").json(f"{self.folder}/manifest")
+        return rows.filter(F.col("version") == rows.agg(F.max("version")).first()[0]).orderBy("path").collect()  # a row for each run
+
+    def _named(self, path: str) -> str:
+        name = f"run_{uuid.uuid4().hex}"
+        columns = ", ".join(RUN.split(", "))
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        return name
+
+    def _write(self, rows: DataFrame) -> tuple[str, str]:
+        """A new run of rows, which are dealt by key into as many partitions as there are buckets."""
+        name, path = f"run_{uuid.uuid4().hex}", f"{self.folder}/{uuid.uuid4().hex}"
+        with setting(self.spark, {CLEANUP: "true", UNIONS: "false"}):
+            rows.sortWithinPartitions("key", "d", "r", "first").write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(name)
+        return name, path
+
+    def _record(self) -> None:
+        self.version += 1
+        rows = [(self.version, path, self.buckets, self.upto, self.window, self.gram) for _, path in self.runs]
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.json(f"{self.folder}/manifest/{self.version}")
+
+    def _drop(self, runs: list[tuple[str, str]]) -> None:
+        for name, path in runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete(self.spark, path)
+
+    def _rows(self, runs: list[tuple[str, str]]) -> DataFrame:
+        return functools.reduce(DataFrame.unionByName, [self.spark.table(name) for name, _ in runs])
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Indexes a batch (d, r, text), with larger d than all before, and says which of its windows also start earlier.
+
+        d, r, codes (a start times 2**16 and bits for the windows from it on), starts (lists of starts).
         """
-        run = stored(fingerprints(batch, self.window, self.gram).sortWithinPartitions("key", "d", "h", "pos"))
-        both = run.withColumn("new", F.lit(True))
-        for old in self.runs:
-            both = both.unionByName(old.filter("pos >= 0").withColumn("new", F.lit(False)))
-        listed = both.filter("pos >= 0")
-        met = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("new"), F.max("more").alias("more")).filter("new AND (n > 1 OR more)").select("key")
-        met = stored(met)
-        here = listed.filter("new").join(met, "key")
-        fresh = met
-        for old in self.met:
-            fresh = fresh.join(old, "key", "left_anti")
-        before = listed.filter("NOT new").join(fresh, "key")
-        self.met.append(met)
-        places = here.unionByName(before).select("d", "h", F.array("pos").alias("places")).unionByName(run.filter("pos < 0").select("d", "h", "places"))
-        by_document = places.groupBy("d", "h").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
-        texts = self.documents.join(by_document, ["d", "h"])
-        windows = stored(_windows(texts, self.window, self.gram))
-        self.windows.append(windows)
-        if last:
-            forget(run, *self.runs, *self.met)
-            self.runs, self.met = [], []
-        single = windows.filter("start >= 0").select("w1", "w2", "d", "h", "start")
-        for old in self.windows[:-1]:
-            single = single.unionByName(old.filter("start >= 0").select("w1", "w2", "d", "h", "start"))
-        earliest = single.groupBy("w1", "w2").agg(F.min(F.struct("d", "h", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2", "first")
-        later = single.join(earliest, ["w1", "w2"]).filter(F.struct("d", "h", "start") != F.col("first")).select("d", "h", F.array("start").alias("starts"))
-        every = later.unionByName(windows.filter("start < 0").select("d", "h", "starts"))
-        mine = every if after is None else every.filter(F.col("d") > after)
-        found = stored(mine.groupBy("d", "h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts")))
-        if last:
-            return found
-        self.runs.append(run)
+        low, high = batch.agg(F.min("d"), F.max("d")).first()
+        if high is None:
+            return self.spark.createDataFrame([], "d long, r long, codes array<long>, starts array<int>")
+        if self.upto is not None and low <= self.upto:
+            raise ValueError(f"a batch begins at {low}, the index holds documents up to {self.upto}")
+        new = self._write(fingerprints(batch, self.window, self.gram).repartition(self.buckets, "key"))
+        old, self.upto = self.runs, high
+        fresh = self.spark.table(new[0])
+        # Merge joins of tables that are dealt and sorted alike: neither the new run nor history is shuffled, only rows whose fingerprints meet.
+        rows = fresh.select("key", "d", "r", "first", "windows").withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key")))
+        keys = fresh.select("key").distinct()
+        meets, before = F.col("n") > 1, []
+        for i, (name, _) in enumerate(old):
+            rows = rows.join(self.spark.table(name).select("key").distinct().select(F.col("key").alias(f"key_{i}")).hint("merge"), F.col("key") == F.col(f"key_{i}"), "left")
+            meets |= F.col(f"key_{i}").isNotNull()
+            before.append(self.spark.table(name).filter("sure IS NULL").join(keys.hint("merge"), "key", "left_semi").select("key", "d", "r", "first", "windows", F.lit(False).alias("new")))
+        met = functools.reduce(DataFrame.unionByName, [rows.filter(meets).select("key", "d", "r", "first", "windows", F.lit(True).alias("new")), *before]).repartition(self.buckets, "key")
+        each = met.select("key", "d", "r", "first", "new", F.posexplode("windows").alias("o", "w"))
+        place = W.partitionBy("key", "w").orderBy("d", "r", F.col("first") + F.col("o"))
+        later = each.withColumn("k", F.row_number().over(place)).filter("new AND k > 1")
+        codes = later.groupBy("key", "d", "r", "first").agg(F.sum(F.expr("shiftleft(1L, o)")).alias("bits"))
+        none = F.lit(None)
+        found = codes.select("d", "r", (F.col("first") * F.lit(65536).cast("bigint") + F.col("bits")).alias("code"), none.cast("array<int>").alias("sure"))
+        found = found.unionByName(fresh.filter("sure IS NOT NULL").select("d", "r", none.cast("bigint").alias("code"), "sure"))
+        with setting(self.spark, {UNIONS: "false"}):
+            found = stored(found.groupBy("d", "r").agg(F.collect_list("code").alias("codes"), F.flatten(F.collect_list("sure")).alias("starts")))
+        self.runs = [*old, new]
         if len(self.runs) > self.fan_in:
-            self._compact()
+            merged = self._write(self._rows(self.runs).filter("sure IS NULL").repartition(self.buckets, "key"))
+            stale, self.runs, self.compactions = self.runs, [merged], self.compactions + 1
+            self._record()
+            self._drop(stale)
+        else:
+            self._record()
         return found
 
-    def _compact(self) -> None:
-        merged = self.runs[0]
-        for run in self.runs[1:]:
-            merged = merged.unionByName(run)
-        new = stored(merged.filter("pos >= 0").repartition("key").sortWithinPartitions("key", "d", "h", "pos"))
-        forget(*self.runs)
-        self.runs = [new]
-        every = self.windows[0].filter("start >= 0")
-        for old in self.windows[1:]:
-            every = every.unionByName(old.filter("start >= 0"))
-        first = every.groupBy("w1", "w2").agg(F.min(F.struct("d", "h", "start")).alias("first")).select("w1", "w2", "first.*", F.lit(None).cast("array<int>").alias("starts"))
-        first = stored(first)
-        forget(*self.windows)
-        self.windows = [first]
-
-    def close(self) -> None:
-        forget(*self.runs, *self.windows, *self.met)
-        self.runs, self.windows, self.met = [], [], []
-
-
-def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_batches: int = BATCHES) -> DataFrame:
+    def drop(self) -> None:
+        self._drop(self.runs)
+        delete(self.spark, self.folder)
+        self.runs = []
+
+
+def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_batches: int = BATCHES, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by a space) of every row of docs (doc_id, text).
 
     A word goes if a window of `window` words over it also starts earlier: in a document with a smaller doc_id, or earlier in its own. Null texts have no
     words. Null doc_ids come first; rows that repeat a doc_id are ordered by the hash of their texts, and equal rows are one document. Other columns are ignored.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("d"), F.xxhash64("text").alias("h"), "text")
+    if window - gram > 15:
+        raise ValueError("at most 16 windows may select one fingerprint")
+    spark = docs.sparkSession
+    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
+    repeated = docs.groupBy(d.alias("d")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count() > 0
+    # Where ids are unique they are the order; else the text's hash tells rows of one id apart.
+    rows = docs.select(F.col("doc_id").cast("long"), d.alias("d"), (F.xxhash64("text") if repeated else F.lit(0).cast("bigint")).alias("r"), "text")
+    single = rows.select("d", "r", "text").dropDuplicates(["d", "r"]) if repeated else rows.select("d", "r", "text")
     cuts = rows.select(F.percentile_approx("d", [k / n_batches for k in range(1, n_batches)] or [1.0], 1000).alias("c")).first().c or []
     edges = [None, *sorted(set(cuts))[: n_batches - 1], None]
-    index, found = SubstringIndex(rows.select("d", "h", "text"), window, gram), None
+    index, found = SubstringIndex(spark, f"{shared_dir(spark)}/substrings-{uuid.uuid4().hex}", window, gram, fan_in), []
     for low, high in zip(edges[:-1], edges[1:], strict=True):
-        batch = rows.select("d", "h", "text")
-        batch = batch if low is None else batch.filter(F.col("d") > low)
-        batch = batch if high is None else batch.filter(F.col("d") <= high)
-        new = index.add(batch, low, last=high is None)
-        found = new if found is None else found.unionByName(new)
-    index.close()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for text, starts in zip(frame["text"], frame["starts"], strict=True):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                kept = words
-                if starts is not None and len(starts):
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, np.minimum(np.asarray(starts) + window, len(words)), -1)
-                    kept = [w for w, c in zip(words, np.cumsum(edge).tolist(), strict=False) if not c]
-                out.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept"]).assign(doc_id=frame["doc_id"].astype("Int64").to_numpy())[["doc_id", "n_words", "n_removed", "kept"]]
-
-    joined = rows.join(found, ["d", "h"], "left")
-    return joined.select(F.col("doc_id").cast("long"), "text", "starts").mapInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
+        batch = single if low is None else single.filter(F.col("d") > low)
+        found.append(index.add(batch if high is None else batch.filter(F.col("d") <= high)))
+    index.drop()
+    width = window - gram + 1
+
+    def make(texts: list, codes: list, starts: list) -> dict[str, pa.Array]:
+        n_words, n_removed, kept = [], [], []
+        for text, code, start in zip(texts, codes, starts, strict=True):
+            words = (text or "").encode("utf-8", "surrogatepass").split()
+            stay = words
+            if code or start:
+                code = np.asarray(code or [], np.int64)
+                first, bits = code >> 16, code & 65535
+                every = np.concatenate([np.asarray(start or [], np.int64), *[first[bits >> o & 1 == 1] + o for o in range(width)]])
+                edge = np.zeros(len(words) + window + 1, np.int64)
+                np.add.at(edge, every, 1)
+                np.add.at(edge, every + window, -1)
+                gone = np.cumsum(edge)[: len(words)]
+                stay = [words[i] for i in np.flatnonzero(gone == 0)]
+            n_words.append(len(words))
+            n_removed.append(len(words) - len(stay))
+            kept.append(b" ".join(stay).decode("utf-8", "surrogatepass"))
+        return {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.string())}
+
+    joined = rows.join(functools.reduce(DataFrame.unionByName, found), ["d", "r"], "left")
+    return made_from(joined, ["text", "codes", "starts"], make, "n_words long, n_removed long, kept string", keep=["doc_id"])
 
 
 def substring_report(docs: DataFrame) -> DataFrame:
+    """The digest columns of op9 for documents (doc_id, text); nulls, empty tables and repeated rows as in deduplicated."""
     return deduplicated(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
