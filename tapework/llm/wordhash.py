@@ -15,12 +15,14 @@ _R = np.random.Generator(np.random.PCG64(20_240_229))
 BYTE = _R.integers(0, 2**64, 256, dtype=np.uint64)
 LOWERED = BYTE.copy()
 LOWERED[65:91] = BYTE[97:123]
+#: Another table, for word hashes that have nothing to do with the first ones.
+OTHER = _R.integers(0, 2**64, 256, dtype=np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Odd multipliers: of bytes, and of words in two independent ways.
 BASE, FIRST, SECOND = 0x9E3779B97F4A7C15 & ~2 | 1 | 4, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 #: Bytes of text that are hashed together at most; one longer text is hashed alone.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -58,16 +60,20 @@ class Words:
         self.start = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
         self.end = np.flatnonzero(gap & np.r_[False, ~gap[:-1]])
         ends = np.cumsum([len(t) + 1 for t in texts])
-        self.hash = mix(_spans((LOWERED if lower else BYTE)[data], BASE, self.start, self.end) + (self.end - self.start).astype(np.uint64))
+        self.data = data
+        self.hash = self._hashed(LOWERED if lower else BYTE, BASE)
         self.doc = np.searchsorted(ends, self.start, "right")
         self.n = np.bincount(self.doc, minlength=len(texts))
         self.first = np.r_[0, np.cumsum(self.n)[:-1]] if len(texts) else np.zeros(0, np.int64)
 
-    def runs(self, k: int, base: int = FIRST) -> np.ndarray:
-        """Hash of the k words from each place on; places with fewer words behind them in the batch are left out."""
+    def _hashed(self, table: np.ndarray, base: int) -> np.ndarray:
+        return mix(_spans(table[self.data], base, self.start, self.end) + (self.end - self.start).astype(np.uint64))
+
+    def runs(self, k: int, base: int = FIRST, other: bool = False) -> np.ndarray:
+        """Hash of the k words from each place on; places with fewer words behind them in the batch are left out. With other, of independent word hashes."""
         n = max(len(self.hash) - k + 1, 0)
         start = np.arange(n)
-        return mix(_spans(self.hash, base, start, start + k)) if n else np.zeros(0, np.uint64)
+        return mix(_spans(self._hashed(OTHER, SECOND) if other else self.hash, base, start, start + k)) if n else np.zeros(0, np.uint64)
 
     def whole(self, k: int) -> np.ndarray:
         """Whether the k words from each place on, as in runs, are of one text."""
