@@ -9,21 +9,24 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tapework.llm.common import made_from
+
 #: Elements that never hold article text, that break a block, that have no end tag, and closing rules.
 SKIPPED = frozenset("script style noscript template head title nav header footer aside button select option textarea iframe svg canvas object embed dialog menu".split())
 BLOCKS = frozenset("address article blockquote body br dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul caption center".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+P_STOPS = BLOCKS - {"p"}
 CLOSES_P = BLOCKS - {"br", "body", "html"}
 RAW = frozenset("script style textarea title noscript iframe template".split())
 #: Words in a class, id or role that mark menus, notices, adverts and reader comments. They and forms count only where size and density agree.
 NOISE = re.compile(r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav(?:igation|bar)?|menu|breadcrumbs?|sidebar|footer|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social|comments?|comment-list|respond|replies|related|recommended|widget|toolbar|pagination|complementary|contentinfo|search)(?:$|[-_ ])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 CLASS = re.compile(r"\bclass\s*=\s*([\"'][^\"']+|[^\s>\"']+)", re.I)
 COMMENTS = re.compile(r"(?:^|[-_ ])(?:comments?|comment-list|respond|replies)(?:$|[-_ ])", re.I)
@@ -48,6 +51,15 @@ def parse(html: str) -> Node:
     """The page as a tree, forgiving: unclosed elements end with their parents, stray end tags are ignored."""
     root = node = Node("#root", None)
     at, end = 0, len(html)
+    open_ = Counter()  # elements between root and node, so that no search goes up for one that is not there
+
+    def up_to(outer: Node) -> Node:
+        inner = node
+        while inner is not outer:
+            open_[inner.name] -= 1
+            inner = inner.parent
+        return outer
+
     while at < end:
         m = TOKEN.search(html, at)
         if text := html[at : m.start() if m else end]:
@@ -58,16 +70,18 @@ def parse(html: str) -> Node:
         if not name:
             continue
         if m[1]:
-            up = node
-            while up.parent and up.name != name:
-                up = up.parent
-            if up.parent:
-                node = up.parent
+            if open_[name]:
+                up = node
+                while up.name != name:
+                    up = up.parent
+                node = up_to(up.parent)
             continue
-        if name in CLOSES_P or name == "p":
-            node = _closed(node, {"p"}, BLOCKS - {"p"})
+        if open_["p"] and (name in CLOSES_P or name == "p"):
+            node = up_to(_closed(node, {"p"}, P_STOPS))
         if name in ("li", "dd", "dt", "tr", "td", "th", "option"):
-            node = _closed(node, {"dd", "dt"} if name in ("dd", "dt") else {"td", "th"} if name in ("td", "th") else {name}, {"ul", "ol", "dl", "table", "select"})
+            names = {"dd", "dt"} if name in ("dd", "dt") else {"td", "th"} if name in ("td", "th") else {name}
+            if any(open_[n] for n in names):
+                node = up_to(_closed(node, names, {"ul", "ol", "dl", "table", "select"}))
         marked = MARKED.findall(m[3]) if m[3] else []
         marks = " ".join(filter(None, (y for x in marked for y in x)))
         doubt = name == "form" or name not in ("body", "html", "main") and any(NOISE.search(" ".join(filter(None, x))) for x in marked)
@@ -81,6 +95,7 @@ def parse(html: str) -> Node:
             at = close.end() if close else end
             continue
         node = child
+        open_[name] += 1
     return root
 
 
@@ -241,9 +256,8 @@ def main_text(html: str | None) -> str:
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row. Null, empty and text-free pages have an empty text; repeated rows stay; other columns are ignored."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            text = [main_text(x) for x in frame["html"]]
-            yield frame[["page_id", "url"]].assign(text=text, n_chars=[len(x) for x in text]).astype({"page_id": "Int64"})
+    def make(html: list[str | None]) -> dict[str, pa.Array]:
+        text = [main_text(x) for x in html]
+        return {"text": pa.array(text, pa.string()), "n_chars": pa.array([len(x) for x in text], pa.int64())}
 
-    return pages.select(pages["page_id"].cast("long"), "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return made_from(pages.select(pages["page_id"].cast("long"), "url", "html"), "html", make, "text string, n_chars long", keep=["page_id", "url"])

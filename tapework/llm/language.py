@@ -6,21 +6,23 @@ probabilities over the document. Texts are read whole, in segments of a fixed nu
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapework.llm.common import made_from
+
 #: Bytes of a segment, units of each direction, and segments that run side by side.
 SEGMENT, UNITS, SIDE_BY_SIDE = 64, 8, 2048
 #: Training reads so many labelled documents of a language at most, of each this many characters from a place drawn by hash.
 DOCUMENTS_PER_LANGUAGE, CHARACTERS = 400, 256
 STEPS, BATCH, RATE, SEED = 350, 128, 0.02, 11
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 
@@ -195,20 +197,17 @@ def identified(docs: DataFrame, network: Network | None) -> DataFrame:
 
     Null texts, texts without a letter and all texts where nothing was learned are `und` with score 0. All rows and columns of docs stay.
     """
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            names, scores = [UNKNOWN] * len(frame), [0.0] * len(frame)
-            where = [i for i, t in enumerate(frame["text"]) if network and t and LETTER.search(t)]
-            if where:
-                p = network.pooled([frame["text"].iloc[i].encode("utf-8", "replace") for i in where])
-                for i, k, s in zip(where, p.argmax(1), p.max(1), strict=True):
-                    names[i], scores[i] = network.languages[k], min(1.0, float(s))
-            yield frame[[f.name for f in kept]].assign(lang_pred=names, score=scores)
+    def make(texts: list[str | None]) -> dict[str, pa.Array]:
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        where = [i for i, t in enumerate(texts) if network and t and LETTER.search(t)]
+        if where:
+            p = network.pooled([texts[i].encode("utf-8", "replace") for i in where])
+            for i, k, s in zip(where, p.argmax(1), p.max(1), strict=True):
+                names[i], scores[i] = network.languages[k], min(1.0, float(s))
+        return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
 
-    return docs.select(*[f.name for f in kept]).mapInPandas(run, schema)
+    return made_from(docs, "text", make, "lang_pred string, score double")
 
 
 def learned_from(docs: DataFrame, **settings: int) -> Network | None:
@@ -217,5 +216,6 @@ def learned_from(docs: DataFrame, **settings: int) -> Network | None:
 
 
 def language_report(docs: DataFrame) -> DataFrame:
+    """The columns of op4 for documents (doc_id, text, lang). A null doc_id is not held out and not learned from; repeated rows stay, an empty table gives none."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return identified(rows, learned_from(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

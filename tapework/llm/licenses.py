@@ -11,10 +11,10 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tapework.llm.common import worker_memo
+from tapework.llm.common import made_from, worker_memo
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Phrases that give a label wherever their words stand together.
@@ -173,31 +173,35 @@ class Scanner:
         return sorted(spans)
 
 
-def scanned(docs: DataFrame) -> DataFrame:
+def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """docs' rows with places of phrases, template spans and labels.
 
     Null text is empty. A label is given for each phrase and each template covered by at least half; score is the largest coverage, 1 where a
     phrase stands. Repeated rows stay, other columns are ignored, an empty table gives none.
     """
-    schema = "doc_id long, n_words long, places array<struct<start:long,label:string>>, spans array<struct<label:string,first:long,last:long,coverage:double>>, base_labels string, labels string, score double"
+    schema = "n_words long, places array<struct<start:long,label:string>>, spans array<struct<label:string,first:long,last:long,coverage:double>>, base_labels string, labels string, score double"
+    place = pa.list_(pa.struct([("start", pa.int64()), ("label", pa.string())]))
+    span = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("coverage", pa.float64())]))
+    kinds = {"n_words": pa.int64(), "places": place, "spans": span, "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64()}
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make(texts: list[str | None]) -> dict[str, pa.Array]:
         memo = worker_memo()
-        scanner = memo.get("licenses") or memo.setdefault("licenses", Scanner())
-        for frame in frames:
-            rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                x = scanner.scan(text)
-                base = {label for _, label in x["places"]}
-                more = {s[0] for s in x["spans"] if s[3] >= scanner.covered}
-                score = 1.0 if base else max([0.0, *(s[3] for s in x["spans"])])
-                rows.append((doc_id, x["n_words"], [{"start": a, "label": b} for a, b in x["places"]], [dict(zip(("label", "first", "last", "coverage"), s, strict=True)) for s in x["spans"]], ",".join(sorted(base)), ",".join(sorted(base | more)), score))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ("doc_id", "n_words", "places", "spans", "base_labels", "labels", "score")]).astype({"doc_id": "Int64"})
+        known = ("licenses", tuple(sorted(templates.items())))
+        scanner = memo.get(known) or memo.setdefault(known, Scanner(templates))
+        rows = []
+        for text in texts:
+            x = scanner.scan(text)
+            base = {label for _, label in x["places"]}
+            more = {s[0] for s in x["spans"] if s[3] >= scanner.covered}
+            score = 1.0 if base else max([0.0, *(s[3] for s in x["spans"])])
+            rows.append((x["n_words"], [{"start": a, "label": b} for a, b in x["places"]], [dict(zip(("label", "first", "last", "coverage"), s, strict=True)) for s in x["spans"]], ",".join(sorted(base)), ",".join(sorted(base | more)), score))
+        return {c: pa.array([r[k] for r in rows], kind) for k, (c, kind) in enumerate(kinds.items())}
 
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInPandas(run, schema)
+    return made_from(docs.select(docs["doc_id"].cast("long"), "text"), "text", make, schema, keep=["doc_id"])
 
 
 def license_report(docs: DataFrame) -> DataFrame:
+    """The columns of op8 for documents (doc_id, text); null places where no phrase stands. Nulls, repeated rows and empty tables as in scanned."""
     from pyspark.sql import functions as F
 
     starts = F.transform("places", lambda p: p["start"])

@@ -13,13 +13,13 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapework.llm.common import stored, worker_memo
 
-TOKENIZER_FOLDER, VOCABULARY = "/opt/tokenizers", "word_bpe_49k.json"
+VOCABULARY = "word_bpe_49k.json"
 LIMIT, END = 2048, 0
 #: Words whose ids a Python worker remembers; others are encoded each time they occur.
 REMEMBERED = 700_000
@@ -85,23 +85,27 @@ def encoder(path: str, remembered: int = REMEMBERED):
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids and a closing 0, cut only where longer than limit."""
-    path = vocabulary or f"{TOKENIZER_FOLDER}/{VOCABULARY}"
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = vocabulary
+        if path is None:
+            import public_tokenizers  # where this executor has it
+
+            path = str(public_tokenizers.path(VOCABULARY))
         memo = worker_memo()
         encode = memo.get(path) or memo.setdefault(path, encoder(path))
         end = np.asarray([END], dtype="<u4").tobytes()
-        for frame in frames:
+        for batch in batches:
             rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 ids = encode(text or "") + end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at : at + 4 * limit]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+                    rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))
+            of, *columns = (np.array(c, np.int64) for c in (zip(*rows, strict=True) if rows else [[]] * 5))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(columns[0].astype(np.int32)), *[pa.array(c) for c in columns[1:]]], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit_decreasing(lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,13 +159,15 @@ PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 
 def _packed(df: DataFrame, limit: int) -> DataFrame:
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        lengths = frame["length"].to_numpy(np.int64)
+    def pack(rows: pa.Table) -> pa.Table:
+        lengths = rows["length"].to_numpy().astype(np.int64)
         bins, offsets, room = best_fit_decreasing(lengths, limit)
         gap = len(room) - bins_needed(np.bincount(lengths, minlength=limit + 1), limit)
-        return frame.assign(bin=bins, offset=offsets, room=room[bins], gap=gap)[[c.split()[0] for c in PACKED.split(", ")]]
+        for name, values in (("bin", bins), ("offset", offsets), ("room", room[bins]), ("gap", np.full(len(bins), gap, np.int64))):
+            rows = rows.append_column(name, pa.array(values, pa.int64()))
+        return rows.select([c.split()[0] for c in PACKED.split(", ")])
 
-    return df.groupBy("part").applyInPandas(pack, PACKED)
+    return df.groupBy("part").applyInArrow(pack, PACKED)
 
 
 def packed(pieces: DataFrame, limit: int = LIMIT, per_partition: int = PIECES_PER_PARTITION, exchanges: int = EXCHANGES) -> DataFrame:

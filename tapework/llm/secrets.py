@@ -13,10 +13,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapework.llm.common import made_from
+
 
 #: What may be a secret, words that point to one, words that point away, and common word parts.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_.\-]{16,}")
@@ -253,31 +255,28 @@ def scanned(docs: DataFrame, forest: Forest | None = None, threshold: float = 0.
     null for a null text. Every row of docs stays, with all its columns. An empty text has no findings.
     """
     forest = forest or trained()
-    out = [f for f in docs.schema.fields if f.name not in ("findings", "n_candidates", "masked_text")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out) + f", findings {FINDINGS}, n_candidates int, masked_text string"
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = list(frame["text"])
-            spots = [list(candidates(t)) if t else [] for t in texts]
-            rows = [features(t[a:b], t[max(0, a - 2 * BESIDE) : a], t[b : b + 2]) for t, s in zip(texts, spots, strict=True) for a, b, _ in s]
-            scores = iter(forest.predict(np.array(rows)) if rows else ())
-            found, masked = [], []
-            for t, s in zip(texts, spots, strict=True):
-                kept = [(a, b, kind, 1.0 if kind == "private_key" else float(p)) for (a, b, kind), p in zip(s, scores, strict=False)]
-                kept = sorted(x for x in kept if x[3] >= threshold)
-                found.append([{"start": a, "end": b, "kind": kind, "score": p, "value_sha256": hashlib.sha256(t[a:b].encode()).hexdigest()} for a, b, kind, p in kept])
-                parts, at = [], 0
-                for a, b, _, _ in kept:
-                    parts += [t[at:a], mask]
-                    at = b
-                masked.append(t if not kept else "".join([*parts, t[at:]]))
-            yield frame[[f.name for f in out]].assign(findings=found, n_candidates=[len(s) for s in spots], masked_text=masked)
-
-    return docs.select(*[f.name for f in out]).mapInPandas(run, schema)
+    kind_of_findings = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("score", pa.float64()), ("value_sha256", pa.string())]))
+
+    def make(texts: list[str | None]) -> dict[str, pa.Array]:
+        spots = [list(candidates(t)) if t else [] for t in texts]
+        rows = [features(t[a:b], t[max(0, a - 2 * BESIDE) : a], t[b : b + 2]) for t, s in zip(texts, spots, strict=True) for a, b, _ in s]
+        scores = iter(forest.predict(np.array(rows)) if rows else ())
+        found, masked = [], []
+        for t, s in zip(texts, spots, strict=True):
+            kept = [(a, b, kind, 1.0 if kind == "private_key" else float(p)) for (a, b, kind), p in zip(s, scores, strict=False)]
+            kept = sorted(x for x in kept if x[3] >= threshold)
+            found.append([{"start": a, "end": b, "kind": kind, "score": p, "value_sha256": hashlib.sha256(t[a:b].encode()).hexdigest()} for a, b, kind, p in kept])
+            parts, at = [], 0
+            for a, b, _, _ in kept:
+                parts += [t[at:a], mask]
+                at = b
+            masked.append(t if not kept else "".join([*parts, t[at:]]))
+        return {"findings": pa.array(found, kind_of_findings), "n_candidates": pa.array([len(s) for s in spots], pa.int32()), "masked_text": pa.array(masked, pa.string())}
+
+    return made_from(docs, "text", make, f"findings {FINDINGS}, n_candidates int, masked_text string")
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    """A row for each finding of each document."""
+    """A row for each finding of each document; none for null and empty texts. Repeated rows give their findings each."""
     rows = scanned(docs.select(F.col("doc_id").cast("long"), "text"))
     return rows.select("doc_id", "n_candidates", F.posexplode("findings").alias("finding", "f")).select("doc_id", "n_candidates", "finding", "f.start", "f.end", "f.kind", "f.score", "f.value_sha256")

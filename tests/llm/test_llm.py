@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -146,16 +147,6 @@ def test_tree_loses_no_pair():
     assert found == want
 
 
-def test_pairs_that_meet_earlier():
-    rng = np.random.default_rng(3)
-    earlier = [rng.integers(0, 60, int(k)) for k in rng.integers(0, 6, 40)]
-    i, j = np.triu_indices(40, 1)
-    want = [bool(set(earlier[a]) & set(earlier[b])) for a, b in zip(i, j, strict=True)]
-    for chunk in (7, 4096):
-        assert ngramjoin._meet_earlier(earlier, i, j, chunk).tolist() == want
-    assert not ngramjoin._meet_earlier([np.zeros(0, np.int64)] * 2, np.array([0]), np.array([1])).any()
-
-
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect()}
@@ -293,7 +284,7 @@ def test_base_places_and_templates():
 def test_tokens_are_the_tokenizers(spark):
     from tokenizers import Tokenizer
 
-    path = f"{packing.TOKENIZER_FOLDER}/{packing.VOCABULARY}"
+    path = str(public_tokenizers.path(packing.VOCABULARY))
     plain, fast = Tokenizer.from_file(path), packing.encoder(path, remembered=50)
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
     for t in [*texts, "", "it's we'LL 'tis x'''s", "a\x1cb", "<|endoftext|> A", "ÀÉ ß µ 1234 ***...", "日本 é", "don't.'s!! 'S", "a\xa0b\x85c"]:
