@@ -3,8 +3,8 @@
 Documents come in batches, in order of their ids. Of each batch, selected window fingerprints (the smallest of the hashes inside a
 window, so that equal windows select alike) become a run: an immutable table, dealt into buckets by fingerprint and sorted, that also holds
 the hashes of the windows around each place. A new run is merge-joined with the historical runs, bucket by bucket: history is read, never
-shuffled again. Where fingerprints meet, the windows are compared by hashes of other origin, 128 bits in all. When there are several
-runs they are compacted into one. The index lives in a folder and can be opened again.
+shuffled again. Where fingerprints meet (64 bits of ten words), the windows around them are compared by 32 bits of independent word hashes. When
+there are several runs, the two smallest are compacted into one. The index lives in a folder and can be opened again.
 """
 
 from __future__ import annotations
@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 from tapework.llm.common import CLEANUP, delete, made_from, partitions, setting, shared_dir, stored
 from tapework.llm.wordhash import SECOND, Words, batches
 
-#: Words of a window, words of a fingerprint inside it, batches, and runs that may stand side by side before they are compacted into one.
+#: Words of a window, words of a fingerprint inside it, batches, and runs that may stand side by side; of more, the smallest two become one.
 WINDOW, GRAM, BATCHES, FAN_IN = 20, 10, 4, 2
 #: Bytes of text whose repeats are found before anything is dealt.
 BATCH = 3_000_000
 LEAST = -(2**63)
 #: Spark may take a union of tables that are dealt alike for dealt so too, and then reads them in another way: what meets in it is shuffled.
 UNIONS = "spark.sql.unionOutputPartitioning"
-RUN = "key long, d long, r long, first int, windows array<long>, sure array<int>"
+RUN = "key long, d long, r long, first int, windows array<int>, sure array<int>"
 MANIFEST = "version int, path string, buckets int, upto long, window int, gram int"
 
 
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     Of equal windows in the rows that a task sees together, only the earliest is listed, so that no passage is listed for each of its
     copies; the others' starts are in one row for their document, in `sure`.
     """
-    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+    ints = pa.list_(pa.int32())
 
     def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
         offsets = np.zeros(len(lengths) + 1, np.int32)
@@ -90,14 +90,14 @@ def fingerprints(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
                 inside = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
                 doc = words.doc[starts[low]]
                 place = (starts[low] - words.first[doc]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key[low].view(np.int64)), pa.array(d[first + doc]), pa.array(r[first + doc]), pa.array(place), lists(w[inside].view(np.int64), n, longs), pa.nulls(len(low), ints)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(key[low].view(np.int64)), pa.array(d[first + doc]), pa.array(r[first + doc]), pa.array(place), lists((w[inside] >> np.uint64(32)).astype(np.uint32).view(np.int32), n, ints), pa.nulls(len(low), ints)], names=names)
                 others = np.flatnonzero(~is_new)
                 if len(others):
                     owner = words.doc[starts[others]]
                     cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
                     doc = owner[cut]
                     place = (starts[others] - words.first[owner]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(d[first + doc]), pa.array(d[first + doc]), pa.array(r[first + doc]), pa.array(np.zeros(len(doc), np.int32)), pa.nulls(len(doc), longs), lists(place, np.diff(np.r_[cut, len(others)]), ints)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(d[first + doc]), pa.array(d[first + doc]), pa.array(r[first + doc]), pa.array(np.zeros(len(doc), np.int32)), pa.nulls(len(doc), ints), lists(place, np.diff(np.r_[cut, len(others)]), ints)], names=names)
 
     return docs.select("d", "r", "text").mapInArrow(run, RUN)
 
@@ -182,8 +182,10 @@ class SubstringIndex:
             found = stored(found.groupBy("d", "r").agg(F.collect_list("code").alias("codes"), F.flatten(F.collect_list("sure")).alias("starts")))
         self.runs = [*old, new]
         if len(self.runs) > self.fan_in:
-            merged = self._write(self._rows(self.runs).filter("sure IS NULL").repartition(self.buckets, "key"))
-            stale, self.runs, self.compactions = self.runs, [merged], self.compactions + 1
+            by_size = sorted(self.runs, key=lambda run: self.spark.table(run[0]).count())
+            stale, rest = by_size[:2], by_size[2:]
+            merged = self._write(self._rows(stale).filter("sure IS NULL").repartition(self.buckets, "key"))
+            self.runs, self.compactions = [*rest, merged], self.compactions + 1
             self._record()
             self._drop(stale)
         else:

@@ -96,4 +96,4 @@ def test_index_compacts_and_is_opened_again(spark, tmp_path):
         found |= {x.d for x in index.add(batch).collect()}
         compactions += index.compactions
         assert len(index.runs) <= 2
-    assert compactions == 2 and found == {i for i, n in enumerate(brute(texts, substrings.WINDOW)) if n}
+    assert compactions == 3 and found == {i for i, n in enumerate(brute(texts, substrings.WINDOW)) if n}
