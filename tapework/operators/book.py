@@ -63,7 +63,7 @@ def verdict(books: DataFrame, chosen: DataFrame, chain: DataFrame) -> DataFrame:
 
 
 def book_at(chosen: DataFrame, updates: DataFrame, bids: str = "$.bids", asks: str = "$.asks") -> DataFrame:
-    """market, symbol, side, price, quantity: of each price the last write, snapshot levels being the oldest; empty prices are gone."""
+    """market, symbol, side, price, quantity: of each price the last write, snapshot levels being the oldest; empty prices are gone, and levels whose price is no number."""
     def side(df: DataFrame, name: str, text: Column, id_: Column) -> DataFrame:
         rows = df.select(*KEY, F.lit(name).alias("side"), id_.alias("id"), F.posexplode(F.from_json(text, "array<array<string>>")).alias("level", "x"))
         return rows.select(*KEY, "side", "id", "level", decimal_trunc18(F.get("x", F.lit(0))).alias("price"), decimal_trunc18(F.get("x", F.lit(1))).alias("quantity"))
@@ -71,7 +71,7 @@ def book_at(chosen: DataFrame, updates: DataFrame, bids: str = "$.bids", asks: s
     old, new = F.lit(-1).cast("decimal(20,0)"), F.col("final_update_id").cast("decimal(20,0)")
     rows = side(chosen, "bid", F.get_json_object("payload", bids), old).unionByName(side(chosen, "ask", F.get_json_object("payload", asks), old))
     rows = rows.unionByName(side(updates, "bid", F.col("bids"), new)).unionByName(side(updates, "ask", F.col("asks"), new))
-    return rows.groupBy(*KEY, "side", "price").agg(F.max_by("quantity", F.struct("id", "level")).alias("quantity")).filter("quantity > 0")
+    return rows.filter("price IS NOT NULL").groupBy(*KEY, "side", "price").agg(F.max_by("quantity", F.struct("id", "level")).alias("quantity")).filter("quantity > 0")
 
 
 def top_levels(book: DataFrame, n: int = 1) -> DataFrame:

@@ -29,8 +29,8 @@ def write_tables(raw: DataFrame, root: str, mode: str = "append") -> None:
 
 
 def hour_files(inventory: DataFrame, hour: object, exported: DataFrame | None = None, force: bool = False) -> DataFrame:
-    """Files of one hour to export, without those already exported unless forced. No files is for the caller to refuse."""
-    files = inventory.filter(partition_hour(F.col("path")) == floor_hour(F.lit(hour).cast("timestamp")))
+    """Parquet files of one hour to export, without markers and without those already exported unless forced. No files is for the caller to refuse."""
+    files = inventory.filter(F.col("path").endswith(".parquet") & (partition_hour(F.col("path")) == floor_hour(F.lit(hour).cast("timestamp"))))
     return files if force or exported is None else files.join(exported.select("path"), "path", "left_anti")
 
 

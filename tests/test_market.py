@@ -154,3 +154,14 @@ def test_retention(spark):
 def test_futures_continuity(spark):
     df = spark.createDataFrame([("usdm", "A", 5, 8, 4, 6), ("usdm", "A", 9, 12, 8, 6), ("usdm", "A", 20, 22, 19, 6)], "market string, symbol string, first_update_id long, final_update_id long, previous_final_update_id long, last_update_id long")
     assert [r.chained for r in book.continuity(df, futures=True).orderBy("final_update_id").collect()] == [True, True, False]
+
+
+def test_hour_export_leaves_markers_out(spark):
+    df = spark.createDataFrame([(f"x/t/2026-08-01/00/segment-1.parquet{m}", 1) for m in ("", ".uploaded")], "path string, length long")
+    assert [r.path for r in store.hour_files(df, "2026-08-01 00:30:00").collect()] == ["x/t/2026-08-01/00/segment-1.parquet"]
+
+
+def test_malformed_level_is_no_price(spark):
+    chosen = spark.createDataFrame([("spot", "A", '{"bids":[["x","1"],["2","3"]],"asks":[]}')], "market string, symbol string, payload string")
+    none = spark.createDataFrame([], "market string, symbol string, final_update_id decimal(20,0), bids string, asks string")
+    assert [(r.price, r.quantity) for r in book.book_at(chosen, none).collect()] == [(2, 3)]
