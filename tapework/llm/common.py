@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 #: Lets Spark delete the shuffle files of a write once it is done; what was written is read from then on.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bits of a sieve, in rows of 32768: 4 MB in all, whatever the number of ids.
+SIEVE = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +101,22 @@ def made_from(df: DataFrame, source: str | list[str], make: Callable[..., dict[s
     return sent.mapInArrow(run, wanted)
 
 
+def sifted(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of df whose `column` (a long) may be among those of ids: every one that is, and some that are not.
+
+    The sieve is a bitmap over hashes of the ids, so what is broadcast has a fixed bound; the more ids, the more other rows pass. It stands before a join that
+    would shuffle all of df for a few ids and takes nothing from that join's result. Null is among no ids.
+    """
+    spot = F.pmod(F.xxhash64(column), F.lit(SIEVE))
+    marks = ids.filter(F.col(column).isNotNull()).select(F.bitmap_bucket_number(spot).alias("__bucket"), F.bitmap_bit_position(spot).alias("__bit"))
+    # Dealt by row of the bitmap first: partial bitmaps of every task would be larger than the ids.
+    bitmap = marks.repartition(partitions(df.sparkSession), "__bucket").groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    near = df.filter(F.col(column).isNotNull()).join(F.broadcast(bitmap), F.bitmap_bucket_number(spot) == F.col("__bucket"))
+    return near.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

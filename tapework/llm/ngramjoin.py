@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapework.llm.common import forget, made_from, partitions, stored
+from tapework.llm.common import forget, made_from, partitions, sifted, stored
 from tapework.llm.graph import components
 from tapework.llm.wordhash import Words, batches, mix
 
@@ -315,7 +315,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                         break
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    here = made_from(texts.join(wanted, "rep"), "text", sets, "shingles binary", keep=["rep", "rooms"])
+    # Few documents are in question: a sieve keeps the other texts out of the shuffle.
+    either = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    here = made_from(sifted(texts, either, "rep").join(wanted, "rep"), "text", sets, "shingles binary", keep=["rep", "rooms"])
     dealt = here.select("rep", "shingles", F.explode("rooms").alias("r")).select("r.a", "r.s", "r.later", "rep", "shingles")
     dealt = dealt.repartition(partitions(texts.sparkSession), "a", "s").sortWithinPartitions("a", "s", "later")
     return stored(dealt.mapInArrow(run, "a long, b long").distinct())
