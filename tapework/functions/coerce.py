@@ -13,17 +13,27 @@ MOST_UNSIGNED, MOST_MILLIS = "18446744073709551615", 8_200_000_000_000_000
 def decimal_trunc18(text: Column) -> Column:
     """decimal(38,18) of a plain decimal number, cut off after 18 places; null for anything else and for more than 20 whole digits."""
     built = F.regexp_replace(text, DECIMAL, "${sign}0${whole}.${long}${short}")
-    return F.when(text.rlike(DECIMAL) & text.rlike(r"^-?[.]?[0-9]"), built.try_cast("decimal(38,18)"))
+    long = F.when(text.rlike(DECIMAL) & text.rlike(r"^-?[.]?[0-9]"), built.try_cast("decimal(38,18)"))
+    # Up to 19 characters there is nothing to cut off, and a cast accepts the same texts; most values take this way, which has no patterns.
+    short = (F.length(text) <= 19) & F.translate(text, "0123456789", "").isin("", ".", "-", "-.")
+    return F.when(short, text.try_cast("decimal(38,18)")).otherwise(long)
+
+
+def _bare_integer(text: Column) -> Column:
+    """bigint of digits with or without a sign; null for anything else. A cast would also accept space around them."""
+    return F.when(F.substring(text, 1, 1).between("+", "9") & F.substring(text, -1, 1).between("0", "9"), text.try_cast("bigint"))
 
 
 def u64_or_zero(text: Column) -> Column:
     """decimal(20,0) of an unsigned 64-bit integer; 0 for anything else."""
+    small = _bare_integer(text)
     number = F.when(text.rlike(r"^[+]?[0-9]+\z"), F.regexp_replace(text, "^[+]", "").try_cast("decimal(38,0)"))
-    return F.coalesce(F.when(number <= F.lit(MOST_UNSIGNED).cast("decimal(38,0)"), number.cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)"))
+    large = F.when(number <= F.lit(MOST_UNSIGNED).cast("decimal(38,0)"), number.cast("decimal(20,0)"))
+    return F.coalesce(F.when(small >= 0, small.cast("decimal(20,0)")), large, F.lit(0).cast("decimal(20,0)"))
 
 
 def i64_or_zero(text: Column) -> Column:
-    return F.coalesce(F.when(text.rlike(r"^[+-]?[0-9]+\z"), F.regexp_replace(text, "^[+]", "").try_cast("bigint")), F.lit(0).cast("bigint"))
+    return F.coalesce(_bare_integer(text), F.lit(0).cast("bigint"))
 
 
 def millis_or(milliseconds: Column, received_at: Column, zero: Column) -> Column:
@@ -49,14 +59,14 @@ def text_of(v: Column) -> Column:
     return F.when(present(v), F.try_variant_get(v, "$", "string"))
 
 
-def read(v: Column, rule: str, spot: bool, received_at: Column, token: tuple[Column, Column] | None = None) -> Column:
-    """The value of a variant by a rule of the table registry; spot and futures rules differ for decimals and times. token: its text and whether it is quoted, where at hand."""
-    text, is_quoted = token or (text_of(v), quoted(v))
+def read(v: Column, rule: str, spot: bool, received_at: Column, token: tuple[Column, Column, Column | None] | None = None) -> Column:
+    """The value of a variant by a rule of the table registry; spot and futures rules differ for decimals and times. token: its text, whether it is quoted, and its integer, where at hand."""
+    text, is_quoted, number = token or (text_of(v), quoted(v), None)
     if rule == "s":
         return F.when(is_quoted, text).otherwise("")
     if rule == "d":
-        number = F.when(is_quoted, decimal_trunc18(text))
-        return F.coalesce(number, F.lit(0).cast("decimal(38,18)")) if spot else number
+        decimal = F.when(is_quoted, decimal_trunc18(text))
+        return F.coalesce(decimal, F.lit(0).cast("decimal(38,18)")) if spot else decimal
     if rule == "u":
         return u64_or_zero(text)
     if rule == "i":
@@ -66,7 +76,7 @@ def read(v: Column, rule: str, spot: bool, received_at: Column, token: tuple[Col
     if rule in ("b0", "b1"):
         return F.when(~is_quoted & text.isin("true", "false"), text == "true").otherwise(rule == "b1")
     if rule == "t":
-        return millis_or(i64_or_zero(text), received_at, received_at if spot else epoch())
+        return millis_or(i64_or_zero(text) if number is None else number, received_at, received_at if spot else epoch())
     if rule == "j":
         return F.when(present(v), F.to_json(v)).otherwise("[]")
     raise ValueError(f"unknown rule {rule}")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapework.sources.scans import is_source, partition_hour, partition_prefix
+from tapework.functions.schemas import SCHEMAS
+from tapework.sources.scans import HOUR, is_source, market_of, partition_hour, partition_prefix, placed, scan_table, table_of
 
 MINIMUM_FILES, SMALL_FILES, SMALL_MIB, SETTLE_MINUTES, LOOKBACK_HOURS = 20, 10, 8, 10, 48
 SORT_KEYS = ("symbol", "event_time", "observed_at", "received_at")
@@ -80,6 +81,30 @@ def verified(spark: SparkSession, rows_in: int, path: str) -> int:
     return rows
 
 
+def compact_table(spark: SparkSession, plan: DataFrame, table: str, out: str) -> DataFrame:
+    """Merges the planned partitions of a table into out, a new folder, all in one job: sorted, verified by the row count of each hour.
+
+    Returns prefix, hour, source_keys, source_bytes and rows of each partition, as a checkpoint keeps them. Nothing is written for a plan without this table. Sources stay.
+    """
+    source = F.explode("source_keys").alias("path")
+    keys = [r.path for r in plan.select(source).filter(table_of(F.col("path")) == table).distinct().collect()]
+    mine = plan.filter(table_of(F.col("source_keys")[0]) == table)
+    if not keys:
+        return mine.select("prefix", "hour", "source_keys", F.col("bytes").alias("source_bytes"), F.lit(0).cast("bigint").alias("rows"))
+    by = ["market", "date", "hour"]
+    rows = placed(spark.read.schema(SCHEMAS[table]).parquet(*keys))
+    resorted(rows, by).write.options(**LAYOUT).mode("errorifexists").partitionBy(*by).parquet(f"{out}/{table}")
+    counted = lambda df, name: df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+    # An hour whose files are all empty has no rows on either side.
+    compared = counted(rows, "n_in").join(counted(scan_table(spark, out, table), "n_out"), by, "full")
+    wrong = compared.filter("NOT n_in <=> n_out").first()
+    if wrong:
+        raise ValueError(f"{out}/{table} has {wrong.n_out} rows of {wrong.market} {wrong.date} {wrong.hour}, its sources have {wrong.n_in}")
+    first = F.col("source_keys")[0]
+    place = mine.select("prefix", F.col("hour").alias("at"), "source_keys", F.col("bytes").alias("source_bytes"), market_of(first).alias("market"), F.regexp_extract(first, HOUR, 1).alias("date"), F.regexp_extract(first, HOUR, 2).alias("hour"))
+    return place.join(compared, by, "left").select("prefix", F.col("at").alias("hour"), "source_keys", "source_bytes", F.coalesce("n_out", F.lit(0)).alias("rows"))
+
+
 def completion(spark: SparkSession, completed_at: object, output_key: str, input_files: int, input_bytes: int, rows: int, source_keys: list[str]) -> DataFrame:
     schema = "output_key string, input_files bigint, input_bytes bigint, rows bigint, source_keys array<string>"
     return spark.createDataFrame([(output_key, input_files, input_bytes, rows, source_keys)], schema).select(F.lit(completed_at).cast("timestamp").alias("completed_at"), "*")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tapework.functions.coerce import floor_hour, human_bytes
 from tapework.operators.normalise import has_table
-from tapework.sources.scans import partition_hour
+from tapework.sources.scans import market_of, partition_hour, table_of
 
 
 def feed_counters(decoded_rows: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -34,7 +34,7 @@ def archive_report(inventory: DataFrame, hours: DataFrame) -> DataFrame:
 
 def store_stats(inventory: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """Segments and bytes of each market and table, and rows where counts (market, table, rows) are given."""
-    place = r"([^/]+)/([^/]+)/[0-9]{4}-[0-9]{2}-[0-9]{2}/[0-9]{2}/[^/]+\.parquet$"
-    files = inventory.filter(F.col("path").rlike(place)).select(F.regexp_extract("path", place, 1).alias("market"), F.regexp_extract("path", place, 2).alias("table"), "length")
+    path = F.col("path")
+    files = inventory.filter(path.endswith(".parquet") & partition_hour(path).isNotNull()).select(market_of(path).alias("market"), table_of(path).alias("table"), "length").filter("market <> '' AND table <> ''")
     stats = files.groupBy("market", "table").agg(F.count(F.lit(1)).alias("segments"), F.sum("length").alias("bytes"))
     return stats if rows is None else stats.join(rows, ["market", "table"], "left")

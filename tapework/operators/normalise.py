@@ -28,26 +28,27 @@ def decoded(raw: DataFrame) -> DataFrame:
     A payload is an event, an array of events, or either under `data` beside its `stream`. One bad element spoils its whole payload. A payload without rows is control
     if it has a result or code, else ignored.
     """
-    envelope = F.from_json("payload", "stream string, data string")
-    df = raw.withColumn("__envelope", envelope)
-    body = F.coalesce(F.col("__envelope.data"), F.col("payload"))
-    df = df.withColumns({"__body": body, "stream": F.when(F.col("__envelope.data").isNotNull(), F.coalesce("__envelope.stream", F.lit(""))).otherwise("")})
-    many = F.ltrim("__body").startswith("[")
-    df = df.withColumn("events", F.when(many, F.from_json("__body", f"array<{EVENT}>")).otherwise(F.array(F.from_json("__body", EVENT))))
+    df = raw.withColumn("__v", F.try_parse_json("payload")).withColumn("__data", F.try_variant_get("__v", "$.data", "variant"))
+    wrapped = F.col("__data").isNotNull() & ~F.is_variant_null(F.col("__data"))
+    stream = F.coalesce(F.try_variant_get("__v", "$.stream", "string"), F.lit(""))
+    df = df.withColumns({"__body": F.when(wrapped, F.col("__data")).otherwise(F.col("__v")), "stream": F.when(wrapped, stream).otherwise("")})
+    many, one = F.try_variant_get("__body", "$", f"array<{EVENT}>"), F.try_variant_get("__body", "$", EVENT)
+    df = df.withColumn("events", F.coalesce(many, F.array(one)))
     df = df.withColumn("types", F.transform("events", _type))
     # Only the events that use a nested object need it to be one: elsewhere the same key is a price.
+    nested = F.arrays_overlap("types", F.array(F.lit("kline"), F.lit("forceOrder")))
     needs = lambda e, kind, key: (_type(e) != kind) | _nested_ok(e, key)
-    whole = F.forall("events", lambda e: e.isNotNull() & needs(e, "kline", "k") & needs(e, "forceOrder", "o"))
-    valid = F.expr("try_parse_json(payload)").isNotNull() & F.col("events").isNotNull() & whole
-    df = df.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    whole = F.forall("events", lambda e: e.isNotNull()) & F.when(nested, F.forall("events", lambda e: needs(e, "kline", "k") & needs(e, "forceOrder", "o"))).otherwise(True)
+    df = df.withColumn("valid", F.coalesce(F.col("__v").isNotNull() & whole, F.lit(False)))
     futures = F.col("market").isin(*FUTURES) & F.exists("types", lambda t: t.isin(TYPES["futures"]))
     df = df.withColumn("rules", F.when(F.col("valid") & futures, "futures").otherwise("spot"))
     rows = F.exists("types", has_table)
     control = F.exists("events", lambda e: F.map_contains_key(e, "result") | F.map_contains_key(e, "code"))
     status = F.when(~F.col("valid"), "parse_error").when(rows, "ok").when(control, "control").otherwise("ignored")
-    done = df.withColumn("status", status).drop("__envelope", "__body", "valid")
+    made = df.withColumn("status", status).select(*raw.columns, F.array(F.struct("stream", "events", "types", "rules", "status")).alias("__made"))
     # Filters on what is computed here would be moved in front of it and parse the payload again for each mention; they stop at a generator.
-    return done.select(F.inline_outer(F.array(F.struct(*done.columns))))
+    # The raw columns pass beside it, so that filters on them reach the scan.
+    return made.select(*raw.columns, F.inline_outer("__made"))
 
 
 def has_table(kind: Column) -> Column:
@@ -101,7 +102,9 @@ def table_rows(events: DataFrame, name: str) -> DataFrame:
     values = df.select(*made.values(), target.alias("target_market"), *[place(k).alias(f"v_{i}") for i, k in enumerate(keys)])
     texts = values.select("*", *[text_of(F.col(f"v_{i}")).alias(f"t_{i}") for i in range(len(keys))], *[quoted(F.col(f"v_{i}")).alias(f"q_{i}") for i in range(len(keys))])
     at = {k: i for i, k in enumerate(keys)}
-    token = lambda k: (F.col(f"t_{at[k]}"), F.col(f"q_{at[k]}"))
+    timed = {at[c.key] for c in table.columns if c.rule == "t"}
+    texts = texts.select("*", *[i64_or_zero(F.col(f"t_{i}")).alias(f"n_{i}") for i in sorted(timed)])
+    token = lambda k: (F.col(f"t_{at[k]}"), F.col(f"q_{at[k]}"), F.col(f"n_{at[k]}") if at[k] in timed else None)
     columns = [(read(F.col(f"v_{at[c.key]}"), c.rule, spot, F.col("__rx"), token(c.key)) if c.key else F.col(f"__{c.rule}")).alias(c.name) for c in table.columns]
     return texts.select(*columns, "target_market")
 

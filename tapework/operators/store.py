@@ -19,11 +19,14 @@ def write_table(rows: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_tables(raw: DataFrame, root: str, mode: str = "append") -> None:
-    """All event tables of raw payloads and the quarantine below root."""
+    """All event tables of raw payloads and the quarantine below root. A table without events is not written."""
     rows = decoded(raw).persist()
     events = exploded(rows)
-    for name in TABLES:
-        write_table(table_rows(events, name), f"{root}/{name}", mode)
+    known = sorted({e for t in TABLES.values() for e in t.events})
+    seen = {(r.rules, r.type) for r in events.filter(F.col("type").isin(known)).select("rules", "type").distinct().collect()}
+    for name, table in TABLES.items():
+        if any((table.rules, e) in seen for e in table.events):
+            write_table(table_rows(events, name), f"{root}/{name}", mode)
     quarantined(rows).write.mode(mode).parquet(f"{root}/quarantine")
     rows.unpersist()
 

@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 
 from tapework.functions.schemas import RAW, SCHEMAS, SNAPSHOT
 
-#: <root>/<exchange>/<market>/<table>/YYYY-MM-DD/HH/<file>
-PLACE = r"([^/]+)/([^/]+)/([^/]+)/([0-9]{4}-[0-9]{2}-[0-9]{2})/([0-9]{2})/[^/]+$"
+#: Two layouts: segments in <root>/<exchange>/<market>/<table>/YYYY-MM-DD/HH, and what the sinks write: <root>[/batch=N]/<table>/market=M/date=YYYY-MM-DD/hour=HH.
+HOUR = r"/(?:date=(?=[^/]+/hour=))?([0-9]{4}-[0-9]{2}-[0-9]{2})/(?:hour=)?([0-9]{2})/[^/]+$"
+SEGMENT_PLACE, SINK_PLACE = r"([^/=]+)/([^/=]+)/[0-9-]{10}/[0-9]{2}/[^/]+$", r"([^/=]+)/market=([^/]+)/date=[^/]+/hour=[^/]+/[^/]+$"
+
+
+def market_of(path: Column) -> Column:
+    """The market in a file's path; an empty text without one."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, SEGMENT_PLACE, 1), F.lit("")), F.regexp_extract(path, SINK_PLACE, 2))
+
+
+def table_of(path: Column) -> Column:
+    """The table in a file's path; an empty text without one."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, SEGMENT_PLACE, 2), F.lit("")), F.regexp_extract(path, SINK_PLACE, 1))
 
 
 def raw_payloads(spark: SparkSession, path: str, streaming: bool = False, format: str = "json") -> DataFrame:
@@ -26,12 +37,20 @@ def snapshots(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SNAPSHOT).option("recursiveFileLookup", "true").json(root)
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Rows of segment files with market, date and hour from each one's path."""
+    path = F.col("_metadata.file_path")
+    return df.select("*", market_of(path).alias("market"), F.regexp_extract(path, HOUR, 1).alias("date"), F.regexp_extract(path, HOUR, 2).alias("hour"))
+
+
 def scan_table(spark: SparkSession, root: str, table: str, market: str = "*", hours: list[str] | None = None, exchange: str = "*") -> DataFrame:
-    """Segments of a table; hours as YYYY-MM-DD/HH are turned into paths, so that others are never listed. market, date and hour come from the path."""
-    paths = [f"{root}/{exchange}/{market}/{table}/{h}" for h in hours or ["*/*"]]
-    place = lambda k: F.regexp_extract(F.col("_metadata.file_path"), PLACE, k)
-    df = spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(*paths)
-    return df.select("*", place(2).alias("market"), place(4).alias("date"), place(5).alias("hour"))
+    """A table's segments and what the sinks wrote of it; hours as YYYY-MM-DD/HH are turned into paths, so that others are never listed. market, date and hour come from the path."""
+    places = [f"{exchange}/{market}/{table}/{h}" for h in hours or ["*/*"]]
+    for day, hour in (h.split("/") for h in hours or ["*/*"]):
+        places += [f"{batch}{table}/market={market}/date={day}/hour={hour}" for batch in ("", "batch=*/")]
+    # Braces make one path of all: only one of the places needs to exist.
+    reader = spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return placed(reader.parquet(f"{root}/{{{','.join(places)}}}"))
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -41,15 +60,15 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def is_source(path: Column) -> Column:
-    return path.rlike(r"(^|/)segment-[^/]*\.parquet$")
+    return path.rlike(r"(^|/)segment-[^/]*\.parquet$|/hour=[0-9]{2}/part-[^/]*\.parquet$")
 
 
 def partition_prefix(path: Column) -> Column:
-    """The folder of a file; null if its last two folders are not YYYY-MM-DD and HH."""
-    return F.when(partition_hour(path).isNotNull(), F.regexp_extract(path, r"^(.*)/[^/]+$", 1))
+    """The hour's folder of a file, without the batch of a stream, so that an hour's batches are one partition; null if the last two folders are not a day and an hour."""
+    folder = F.regexp_extract(path, r"^(.*)/[^/]+$", 1)
+    return F.when(partition_hour(path).isNotNull(), F.regexp_replace(folder, r"/batch=[0-9]+(?=/[^/]+/market=)", ""))
 
 
 def partition_hour(path: Column) -> Column:
-    pattern = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})/([0-9]{2})/[^/]+$"
-    text = F.concat_ws(" ", F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2))
-    return F.when(path.rlike(pattern), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH")))
+    text = F.concat_ws(" ", F.regexp_extract(path, HOUR, 1), F.regexp_extract(path, HOUR, 2))
+    return F.when(path.rlike(HOUR), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH")))
