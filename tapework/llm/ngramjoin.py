@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapework.llm.common import forget, made_from, partitions, sifted, stored
+from tapework.llm.common import forget, made_from, partitions, stored
+from tapework.llm.fullsets import confirmed, shingle_sets
 from tapework.llm.graph import components
 from tapework.llm.wordhash import Words, batches, mix
 
@@ -33,31 +34,10 @@ GROUPS = 128
 PER_COUNTER, MOST_COUNTERS, SLICE = 64, 1 << 22, 1 << 12
 #: Points of a leaf; points of a block that one task joins, beyond which blocks are cut.
 LEAF, BLOCK = 8, 4_000
+#: Of a block's points, sizes, components and sides (or None), the pairs of rows that may be linked.
+PairFinder = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray | None], Iterator[tuple[np.ndarray, np.ndarray]]]
 #: Heads of blocks that a set is compared with before blocks are searched; what they leave unlinked, the search finds.
 HEADS = 2
-#: Sets that are compared with one other set in one task, about.
-ROOM = 500
-
-
-def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> Iterator[np.ndarray]:
-    """For each text, the sorted distinct hashes of its k-word shingles; of the whole text, if it has fewer words but any."""
-    words = Words(texts, lower=True)
-    runs, whole = words.runs(k), words.whole(k)
-    order = np.flatnonzero(whole)
-    doc, value = words.doc[order], runs[order]
-    by = np.lexsort((value, doc))
-    doc, value = doc[by], value[by]
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])] if len(doc) else np.zeros(0, bool)
-    doc, value = doc[new], value[new]
-    cut = np.searchsorted(doc, np.arange(len(texts) + 1))
-    for i, n in enumerate(words.n):
-        if 0 < n < k:
-            h = np.uint64(n)
-            for w in words.hash[words.first[i] : words.first[i] + n]:
-                h = mix(np.array([h], np.uint64) * np.uint64(31) + w)[0]
-            yield np.array([h], np.uint64)
-        else:
-            yield value[cut[i] : cut[i + 1]]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -150,7 +130,7 @@ def prints(docs: DataFrame, often: np.ndarray, percent: int = PERCENT) -> DataFr
     def make(texts: list[str | None]) -> dict[str, pa.Array]:
         n, sig1, sig2, prefix, points, fine = [], [], [], [], [], []
         for _, group in batches(texts):
-            for s in shingle_sets(group):
+            for s in shingle_sets(group, SHINGLE):
                 n.append(len(s))
                 sig1.append(np.bitwise_xor.reduce(mix(s)) if len(s) else 0)
                 sig2.append(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) if len(s) else 0)
@@ -281,48 +261,6 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "x", "y").mapInPandas(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked; sets are made anew from the texts (rep, text) of the documents in question.
-
-    A set travels once for each a that it is compared with, not once for each pair of two sets; those of one a arrive in slices, each behind a copy of a's own.
-    """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / ROOM).cast("int").alias("slices"))
-    rooms = pairs.join(sizes, "a").select("a", "b", F.pmod(F.hash("b"), F.col("slices")).alias("s"))
-    # A document waits in each room where it is b, and as a in every slice of its own that has a b.
-    asks = rooms.select(F.col("b").alias("rep"), "a", "s", F.lit(1).alias("later")).unionByName(rooms.select(F.col("a").alias("rep"), "a", "s", F.lit(0).alias("later")).distinct())
-    wanted = asks.groupBy("rep").agg(F.collect_list(F.struct("a", "s", "later")).alias("rooms"))
-
-    def sets(texts: list[str | None]) -> dict[str, pa.Array]:
-        return {"shingles": pa.array([s.tobytes() for _, group in batches(texts) for s in shingle_sets(group)], pa.binary())}
-
-    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        room, own = None, []
-        for frame in frames:
-            found = []
-            for a, s, later, b, x in zip(*[frame.column(i).to_pylist() for i in range(5)], strict=True):
-                if room != (a, s):
-                    room, own = (a, s), []
-                q = np.frombuffer(x, np.uint64)
-                if not later:
-                    own.append(q)
-                    continue
-                for p in own:
-                    small, large = (p, q) if len(p) <= len(q) else (q, p)
-                    at = np.searchsorted(large, small)
-                    both = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(small) else 0
-                    if both > 0 and 100 * both >= percent * (len(p) + len(q) - both):
-                        found.append((a, b))
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    # Few documents are in question: a sieve keeps the other texts out of the shuffle.
-    either = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-    here = made_from(sifted(texts, either, "rep").join(wanted, "rep"), "text", sets, "shingles binary", keep=["rep", "rooms"])
-    dealt = here.select("rep", "shingles", F.explode("rooms").alias("r")).select("r.a", "r.s", "r.later", "rep", "shingles")
-    dealt = dealt.repartition(partitions(texts.sparkSession), "a", "s").sortWithinPartitions("a", "s", "later")
-    return stored(dealt.mapInArrow(run, "a long, b long").distinct())
-
-
 def gathered(lots: Iterator[tuple[np.ndarray, ...]], most: int = 500_000) -> Iterator[tuple[np.ndarray, ...]]:
     """The same rows in larger lots, of `most` at least but for the last."""
     held, size = [], 0
@@ -336,8 +274,13 @@ def gathered(lots: Iterator[tuple[np.ndarray, ...]], most: int = 500_000) -> Ite
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int) -> DataFrame:
-    """a, b: distinct pairs of different components that survive the bound, of members (key, rep, component).
+def tree_pairs(percent: int) -> PairFinder:
+    return lambda points, n, component, side: gathered(Tree(unpacked(points), n, component).pairs(percent, side))
+
+
+def block_pairs(members: DataFrame, points: DataFrame, block: int, finder: PairFinder) -> DataFrame:
+    """a, b: distinct pairs of different components that finder lets through, of members (key, rep, component). finder gets a block's points, sizes, components and,
+    where only pairs across two sides count, sides; it yields pairs of rows.
 
     A block that is too large for a task is cut. Its largest component needs no comparison with itself: its parts each meet the parts of the rest, and only the
     rest's parts meet one another.
@@ -376,7 +319,7 @@ def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int
             for a, b in itertools.pairwise(starts if last else starts[:-1]):
                 if b - a > 1:
                     rep, n, component, side, cross, x = (c[a:b] for c in columns)
-                    for i, j in gathered(Tree(unpacked(list(x)), n, component).pairs(percent, side if cross.any() else None)):
+                    for i, j in finder(list(x), n, component, side if cross.any() else None):
                         found.append((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])))
             if found:
                 yield pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])}).drop_duplicates()
@@ -387,6 +330,14 @@ def _block_pairs(members: DataFrame, points: DataFrame, percent: int, block: int
     return dealt.select(*names, "rep", "n", "component", "side", "cross", "point").mapInPandas(run, "a long, b long").filter("a <> b").distinct()
 
 
+def repeated_ids(marks: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: links that make one node of the sets of a doc_id that stands in several rows: to the classes' heads."""
+    sig = F.struct("sig1", "sig2", "n")
+    some = marks.filter("n > 0 AND doc_id IS NOT NULL")
+    many = some.groupBy("doc_id").agg(F.min(sig).alias("low"), F.max(sig).alias("high")).filter("low <> high").select(F.col("doc_id").alias("a"))
+    return some.join(many, F.col("doc_id") == F.col("a")).join(classes.select("sig1", "sig2", "n", "rep"), ["sig1", "sig2", "n"]).select("a", F.col("rep").alias("b")).filter("a <> b").distinct()
+
+
 def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of every row of docs (doc_id, text).
 
@@ -402,7 +353,7 @@ def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataF
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     # First every set against a few pivots: families of near copies become components in linear time.
     tried = stored(_bounded(stars(members, classes), classes, percent))
-    links = _verified(tried, texts, percent)
+    links = confirmed(tried, texts, percent, SHINGLE)
     # Then, in blocks that still hold several components, the trees' pairs across them.
     found = components(links)
     known = points.select("rep").distinct().join(found, F.col("rep") == found["node"], "left").select("rep", F.coalesce("component", "rep").alias("component"))
@@ -410,9 +361,9 @@ def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataF
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
     dealt = stored(labelled.join(mixed, "key"))
     sides = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stored(_bounded(_block_pairs(dealt, points, percent, block).join(sides, ["a", "b"], "left_anti"), classes, percent))
+    more = stored(_bounded(block_pairs(dealt, points, block, tree_pairs(percent)).join(sides, ["a", "b"], "left_anti"), classes, percent))
     forget(members, tried, found, dealt)
-    links = links.unionByName(_verified(more, texts, percent))
+    links = links.unionByName(confirmed(more, texts, percent, SHINGLE)).unionByName(repeated_ids(marks, classes))
     final = components(links)
     named = classes.select(*sig, "rep").join(final, F.col("rep") == final["node"], "left").select(*sig, F.coalesce("component", "rep").alias("component_id"))
     result = marks.select("doc_id", *sig).join(named, sig, "left")
@@ -421,21 +372,25 @@ def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataF
     return result
 
 
-JOIN_SQL = r"""
+def join_sql(k: int, percent: int) -> str:
+    return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' '))) END AS s
   FROM words),
 grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 meets AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, min(a.n) AS na, min(b.n) AS nb
-  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY a.doc_id, b.doc_id),
-links AS (SELECT a, b FROM meets WHERE 100 * k >= 85 * (na + nb - k)),
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= {percent} * b.n AND 100 * b.n >= {percent} * a.n GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM meets WHERE 100 * k >= {percent} * (na + nb - k)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT reach.node, edges.b FROM reach JOIN edges ON edges.a = reach.other)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(sets.doc_id, coalesce(m, sets.doc_id)) AS component_id
 FROM sets LEFT JOIN (SELECT node, min(other) AS m FROM reach GROUP BY node) AS r ON r.node = sets.doc_id
 """
+
+
+JOIN_SQL = join_sql(SHINGLE, PERCENT)
