@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,24 +46,45 @@ def placed(df: DataFrame) -> DataFrame:
     return df.select("*", market_of(path).alias("market"), F.regexp_extract(path, HOUR, 1).alias("date"), F.regexp_extract(path, HOUR, 2).alias("hour"))
 
 
+def hour_places(hours: list[str], table: str = "*", market: str = "*", exchange: str = "*") -> list[str]:
+    """The folders below a root that hold these hours (YYYY-MM-DD/HH), in both layouts."""
+    places = [f"{exchange}/{market}/{table}/{h}" for h in hours]
+    for day, hour in (h.split("/") for h in hours):
+        places += [f"{batch}{table}/market={market}/date={day}/hour={hour}" for batch in ("", "batch=*/")]
+    return places
+
+
 def scan_table(spark: SparkSession, root: str, table: str, market: str = "*", hours: list[str] | None = None, exchange: str = "*") -> DataFrame:
     """A table's segments and what the sinks wrote of it; hours as YYYY-MM-DD/HH are turned into paths, so that others are never listed. market, date and hour come from the path."""
-    places = [f"{exchange}/{market}/{table}/{h}" for h in hours or ["*/*"]]
-    for day, hour in (h.split("/") for h in hours or ["*/*"]):
-        places += [f"{batch}{table}/market={market}/date={day}/hour={hour}" for batch in ("", "batch=*/")]
+    places = hour_places(hours or ["*/*"], table, market, exchange)
     # Braces make one path of all: only one of the places needs to exist.
     reader = spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     return placed(reader.parquet(f"{root}/{{{','.join(places)}}}"))
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """path, length, modified of the files below root; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+def inventory(spark: SparkSession, root: str, now: dt.datetime | None = None, lookback_hours: int | None = None) -> DataFrame:
+    """path, length, modified of the files below root; contents are not read. With now, only the hours from so many before it on, whose folders are named beforehand: others are not listed."""
+    places, lookup = root, spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if now is not None:
+        hours = [now - dt.timedelta(hours=k) for k in range((lookback_hours or 0) + 1)]
+        places = f"{root}/{{{','.join(hour_places([f'{h:%Y-%m-%d/%H}' for h in hours]))}}}"
+    try:
+        files = lookup.load(places)
+    except AnalysisException as e:
+        if now is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def is_source(path: Column) -> Column:
-    return path.rlike(r"(^|/)segment-[^/]*\.parquet$|/hour=[0-9]{2}/part-[^/]*\.parquet$")
+    """Whether a file is one that compaction may merge: a segment or a sink's file, but no output of compaction, which stands below a version."""
+    return path.rlike(r"(^|/)segment-[^/]*\.parquet$|/hour=[0-9]{2}/part-[^/]*\.parquet$") & ~path.rlike("/version=[^/]*/")
+
+
+def plain_path(path: Column) -> Column:
+    """A local path as listings write it, with one slash."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def partition_prefix(path: Column) -> Column:

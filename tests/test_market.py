@@ -99,24 +99,15 @@ def test_paths(spark):
     assert got[0][1] == dt.datetime(2026, 8, 4, 2) and got[0][2] == "x/usdm/t/2026-08-04/02" and got[2][1] is None
 
 
-def test_resort_and_merge(spark, tmp_path):
-    data = [("B", 2, 1, 20), ("A", 2, 2, 12), ("B", 1, 1, 10), ("A", 1, 2, 13), ("A", 1, 1, 11)]
-    df = spark.createDataFrame(data, "symbol string, event_time long, received_at long, value long")
-    assert [r.value for r in compact.resorted(df, []).collect()] == [11, 13, 12, 10, 20]
-    paths = [str(tmp_path / x) for x in "abc"]
-    df.write.parquet(paths[0])
-    df.write.parquet(paths[1])
-    df.select(F.col("symbol")).write.parquet(paths[2])
-    merged = compact.merged(spark, paths[:2])
-    compact.write_compacted(compact.resorted(merged, []), str(tmp_path / "out"))
-    assert compact.verified(spark, 10, str(tmp_path / "out")) == 10
-    with pytest.raises(ValueError):
-        compact.verified(spark, 9, str(tmp_path / "out"))
-    with pytest.raises(ValueError, match="schema"):
-        compact.merged(spark, [paths[0], paths[2]])
-    # A rerun whose sources are consumed adds nothing twice.
-    again, left = compact.with_previous(merged, merged, ["a", "b"], ["a", "b"])
-    assert left == [] and again.count() == 10
+def test_resort(spark):
+    """Null symbols first, equal keys stay beside each other, a table without event_time goes by the times that it has, and each partition is in order."""
+    data = [(p, s, o, k) for k, (p, s, o) in enumerate((p, s, o) for p in ("x", "y") for s in ("eth", None, "btc", "eth") for o in (9, 4, 4))]
+    df = spark.createDataFrame(data, "part string, symbol string, observed_at long, k long").repartition(3)
+    got = compact.resorted(df, ["part"]).collect()
+    want = sorted(data, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+    assert [tuple(r[:3]) for r in got] == [r[:3] for r in want] and sorted(r.k for r in got) == [r[3] for r in sorted(data, key=lambda r: r[3])]
+    bare = df.drop("symbol")
+    assert compact.resorted(bare, ["part"]) is bare
 
 
 def test_store_round_trip_and_stream(spark, tmp_path):
