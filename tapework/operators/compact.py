@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -283,7 +284,18 @@ def updated_checkpoint(checkpoint: DataFrame, done: DataFrame, now: object, look
     return newest.filter(F.col("hour") >= F.lit(now).cast("timestamp") - F.make_interval(hours=F.lit(lookback_hours + 24)))
 
 
-def rewrite_layout(df: DataFrame, path: str, level: int = 1, rows: int = 131_072, by_symbol: bool = False) -> None:
-    """df with another compression level, row groups and order."""
-    out = df.sortWithinPartitions(*[k for k in SORT_KEYS if k in df.columns]) if by_symbol else df
-    out.write.options(compression="zstd").option("parquet.compression.codec.zstd.level", str(level)).option("parquet.block.row.count.limit", str(rows)).parquet(path)
+def rewrite_layout(spark: SparkSession, source: str, path: str, level: int = 1, rows: int = 131_072, by_symbol: bool = False) -> DataFrame:
+    """Writes the Parquet files of a folder anew with another compression level, row groups and order, into a new one; and a row that tells of it.
+
+    files, rows, input_bytes, output_bytes, elapsed_seconds, rows_per_second, output_mib_per_second and the settings. Rows are counted as they are written. No files are an error.
+    """
+    sized = lambda folder: spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")).first()
+    before, began, seen = sized(source), time.monotonic(), Observation()
+    if not before.files:
+        raise FileNotFoundError(f"no Parquet files below {source}")
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(source)
+    out = df.sortWithinPartitions(*[k for k in SORT_KEYS if k in df.columns]) if by_symbol and "symbol" in df.columns else df
+    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(compression="zstd").option("parquet.compression.codec.zstd.level", str(level)).option("parquet.block.row.count.limit", str(rows)).parquet(path)
+    took, n, after = max(time.monotonic() - began, 1e-9), seen.get["rows"], sized(path)
+    schema = "files bigint, rows bigint, input_bytes bigint, output_bytes bigint, elapsed_seconds double, rows_per_second double, output_mib_per_second double, zstd_level int, row_group_rows int, sort_by_symbol boolean"
+    return spark.createDataFrame([(before.files, n, before.bytes, after.bytes, took, n / took, after.bytes / 1_048_576 / took, level, rows, by_symbol)], schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,6 +17,17 @@ def feed_counters(decoded_rows: DataFrame, by: list[str] | None = None) -> DataF
     return decoded_rows.groupBy(*(by or ["market"])).agg(F.count(F.lit(1)).alias("messages"), F.sum(records.cast("bigint")).alias("records"), F.count_if(F.col("status") == "parse_error").alias("parse_errors"), F.max("received_at").alias("latest"))
 
 
+def stored_counters(spark: SparkSession, root: str) -> DataFrame:
+    """The counters of all stored batches of a stream by market, as feed_counters has them of the payloads themselves. Markets of no counter of their own are one."""
+    rows = spark.read.schema("market string, messages bigint, records bigint, parse_errors bigint, latest timestamp").json(f"{root}/batch=*/_counters")
+    return rows.groupBy("market").agg(*[F.sum(c).alias(c) for c in ("messages", "records", "parse_errors")], F.max("latest").alias("latest"))
+
+
+def written_records(spark: SparkSession, root: str) -> DataFrame:
+    """table, rows: what all stored batches of a stream have written, the quarantine too, as counted while it was written."""
+    return spark.read.schema("table string, rows bigint").json(f"{root}/batch=*/_written").groupBy("table").agg(F.sum("rows").alias("rows"))
+
+
 def counter_increase(samples: DataFrame) -> DataFrame:
     """samples (sampled_at, counter, value) and increase: 0 at first, the difference, or after a restart the value itself; a value that is no number counts as the next one."""
     before = F.lag(F.struct(F.lit(1).alias("one"), F.col("value"))).over(W.partitionBy("counter").orderBy("sampled_at"))

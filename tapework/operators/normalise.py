@@ -9,6 +9,8 @@ from tapework.functions.coerce import decimal_trunc18, i64_or_zero, millis_or, p
 from tapework.functions.schemas import SCHEMAS, TABLES, Table
 
 EVENT = "map<string,variant>"
+#: Stands behind a payload while it is parsed; a payload that holds it is refused.
+END = "~end of payload~"
 FUTURES = ("usdm", "coinm")
 TYPES = {rules: sorted({e for t in TABLES.values() if t.rules == rules for e in t.events if e}) for rules in ("spot", "futures")}
 
@@ -28,7 +30,11 @@ def decoded(raw: DataFrame) -> DataFrame:
     A payload is an event, an array of events, or either under `data` beside its `stream`. One bad element spoils its whole payload. A payload without rows is control
     if it has a result or code, else ignored.
     """
-    df = raw.withColumn("__v", F.try_parse_json("payload")).withColumn("__data", F.try_variant_get("__v", "$.data", "variant"))
+    # Parsed as an array of the payload and END: a value is followed by END only if it is the whole payload. A parser by itself leaves trailing text unnoticed.
+    both = F.try_parse_json(F.when(~F.contains("payload", F.lit(END)), F.concat(F.lit("["), F.col("payload"), F.lit(f',"{END}"]'))))
+    df = raw.withColumn("__both", both)
+    df = df.withColumn("__v", F.when(F.try_variant_get("__both", "$[1]", "string") == END, F.try_variant_get("__both", "$[0]", "variant")))
+    df = df.withColumn("__data", F.try_variant_get("__v", "$.data", "variant"))
     wrapped = F.col("__data").isNotNull() & ~F.is_variant_null(F.col("__data"))
     stream = F.coalesce(F.try_variant_get("__v", "$.stream", "string"), F.lit(""))
     df = df.withColumns({"__body": F.when(wrapped, F.col("__data")).otherwise(F.col("__v")), "stream": F.when(wrapped, stream).otherwise("")})
@@ -66,6 +72,24 @@ def exploded(decoded_rows: DataFrame) -> DataFrame:
     return decoded_rows.filter("status = 'ok'").select("received_at", "market", "shard_id", "stream", "rules", F.posexplode(F.arrays_zip("events", "types")).alias("position", "e")).select("received_at", "market", "shard_id", "stream", "rules", "position", F.col("e.events").alias("event"), F.col("e.types").alias("type"))
 
 
+QUARANTINE = "quarantine"
+
+
+def dealt(decoded_rows: DataFrame) -> DataFrame:
+    """The rows of exploded and quarantined together, with the table that each belongs to; events of no table and payloads without rows are left out."""
+    kind, known = F.col("type"), F.lit(None).cast("string")
+    for name, table in TABLES.items():
+        mine = (F.col("rules") == table.rules) & (F.contains("stream", F.lit("@bookTicker")) & (kind == "") if name == "book_tickers" else kind.isin(*table.events))
+        known = F.when(mine, name).otherwise(known)
+    bad = F.col("status") == "parse_error"
+    entries = F.when(F.col("status") == "ok", F.arrays_zip("events", "types"))
+    # A payload in quarantine is one entry without an event.
+    entries = F.when(bad, F.array(F.struct(F.lit(None).cast(EVENT).alias("events"), F.lit("").alias("types")))).otherwise(entries)
+    each = decoded_rows.select("received_at", "market", "shard_id", "stream", "rules", F.when(bad, F.col("payload")).alias("payload"), bad.alias("bad"), F.posexplode(entries).alias("position", "e"))
+    each = each.select("received_at", "market", "shard_id", "stream", "rules", "position", F.col("e.events").alias("event"), F.col("e.types").alias("type"), "payload", "bad")
+    return each.withColumn("table", F.when(F.col("bad"), QUARANTINE).otherwise(known)).filter(F.col("table").isNotNull()).drop("bad")
+
+
 def source_label(market: Column, transport: str = "websocket") -> Column:
     return F.concat(F.lit("binance_"), market, F.lit(f"_{transport}"))
 

@@ -128,3 +128,8 @@ def absolute(spark: SparkSession, folder: str) -> str:
     """A folder's path with its scheme, as listings write it."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

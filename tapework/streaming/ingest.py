@@ -14,10 +14,12 @@ from tapework.operators.store import write_tables
 
 
 def start_ingest(raw: DataFrame, root: str, checkpoint: str, seconds: int = 300, available_now: bool = False) -> StreamingQuery:
-    """Writes all tables of each micro-batch; the batch's number is in the path, so a batch that is run again replaces what it wrote."""
+    """Writes all tables of each micro-batch; the batch's number is in the path, so a batch that is run again replaces what it wrote, its counters too (`metrics.stored_counters`)."""
 
     def write(batch: DataFrame, number: int) -> None:
-        write_tables(batch, f"{root}/batch={number}", mode="overwrite")
+        place = f"{root}/batch={number}"
+        for name, rows in zip(("counters", "written"), write_tables(batch, place, mode="overwrite"), strict=True):
+            rows.coalesce(1).write.mode("overwrite").json(f"{place}/_{name}")
 
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{seconds} seconds"}
     return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
