@@ -7,11 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapework.functions.coerce import decimal_trunc18
+from tapework.functions.schemas import SCHEMAS
+from tapework.operators.normalise import enforced
 
 KEY = ["market", "symbol"]
 
 
-def levels(updates: DataFrame, futures: bool = False) -> DataFrame:
+def levels(updates: DataFrame) -> DataFrame:
     """A row for each side and level of depth updates; columns of no level table (a market) stay in front."""
     def side(name: str, column: str) -> DataFrame:
         each = F.posexplode(F.from_json(column, "array<array<string>>"))
@@ -22,6 +24,11 @@ def levels(updates: DataFrame, futures: bool = False) -> DataFrame:
     return side("bid", "bids").unionByName(side("ask", "asks"))
 
 
+def level_table(updates: DataFrame, name: str) -> DataFrame:
+    """The rows of depth_levels or futures_depth_levels, with that table's columns, of depth updates of the same kind."""
+    return enforced(levels(updates).select(*[F.col(c) for c in SCHEMAS[name].names]), name)
+
+
 def snapshot_as_of(snapshots: DataFrame, at: object) -> DataFrame:
     """The newest snapshot of each book until `at`; of equally new ones, that with the larger id."""
     old = snapshots.filter(F.col("captured_at") <= F.lit(at).cast("timestamp"))

@@ -60,14 +60,19 @@ def resorted(df: DataFrame, partition: list[str], ranges: int | None = None) ->
     return (df.repartitionByRange(*number, *partition, *keys) if partition else df.coalesce(1)).sortWithinPartitions(*partition, *keys)
 
 
-def refuse_mixed(read: DataFrame, names: list[str] | None = None) -> None:
-    """An error that names a file of read (prefix, path, columns) whose columns differ from those of its partition's first file or, with names, from those."""
+def mixed(read: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """read (prefix, path, columns) and differs: whether a file's columns are others than those of its partition's first file or, with names, than those."""
     first = read.groupBy(F.col("prefix").alias("p")).agg(F.min_by("columns", "path").alias("wanted"))
     bad = ~F.col("columns").eqNullSafe(F.col("wanted"))
     if names is not None:
         own = F.array_sort(F.transform(F.split("columns", "\n"), lambda c: F.substring_index(c, " ", 1)))
         bad = bad | (own != F.array(*[F.lit(n) for n in sorted(names)]))
-    found = read.join(first, read["prefix"].eqNullSafe(F.col("p"))).filter(bad).agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).first()
+    return read.join(first, read["prefix"].eqNullSafe(F.col("p"))).withColumn("differs", bad).drop("p", "wanted")
+
+
+def refuse_mixed(read: DataFrame, names: list[str] | None = None) -> None:
+    """An error that names a file that differs."""
+    found = mixed(read, names).filter("differs").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).first()
     if found.n:
         raise ValueError(f"the schema of {found.path} differs from that of its table or of its partition's first file ({found.n} such files)")
 

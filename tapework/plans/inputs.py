@@ -25,8 +25,9 @@ def text_of_cents(c: Column) -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as n (a number for each row), c (cents), ms, sym, st."""
-    return table(spark, sf_dir, "lineitem").select(
+    """lineitem as n (a number for each row), c (cents), ms, sym, st. The rows are dealt over all tasks: a table of one row group would be read by one."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_partkey", "l_suppkey")
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("n"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"), F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ms"), F.concat(F.lit("P"), F.col("l_partkey") % 20).alias("sym"), (F.col("l_suppkey") % 3).alias("st")
     )
 
@@ -34,41 +35,61 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINES_SQL = "SELECT l_orderkey * 10 + l_linenumber AS n, CAST(round(l_extendedprice * 100) AS BIGINT) AS c, epoch_ms(l_shipdate) AS ms, 'P' || (l_partkey % 20) AS sym, l_suppkey % 3 AS st FROM lineitem"
 
 
+#: Of eleven lines each gives other odd values: quoted and bare ones where the other is wanted, words for numbers, signs, zeros, times out of range, nulls and missing keys.
+ODD = 11
+
+
 def _token(rule: str, key: str, i: int) -> Column:
-    n = F.col("n") + i
+    n, k = F.col("n") + i, F.col("n") % ODD
+    quote = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     if rule == "s":
-        return F.concat(F.lit('"'), F.col("sym") if key.rpartition(".")[2] == "s" else F.lit(f"v{i}"), F.lit('"'))
+        return F.when(k == 1, "7").when(k == 2, "null").otherwise(quote(F.col("sym") if key.rpartition(".")[2] == "s" else F.lit(f"v{i}")))
     if rule == "d":
-        return F.concat(F.lit('"'), text_of_cents(F.col("c") + i), F.lit('"'))
+        cents = text_of_cents(F.col("c") + i)
+        return F.when(k == 3, cents).when(k == 4, quote(F.concat(cents, F.lit("x")))).when(k == 5, "null").when(k == 6, quote(F.concat(F.lit("-"), cents))).otherwise(quote(cents))
     if rule in ("u", "i"):
-        return n.cast("string")
+        text = n.cast("string")
+        return F.when(k == 5, F.concat(F.lit("-"), text)).when(k == 6, quote(text)).when(k == 7, quote(F.concat(text, F.lit("x")))).when(k == 8, "null").otherwise(text)
     if rule == "t":
-        return (F.col("ms") + i * 1000).cast("string")
+        return F.when(k == 7, "0").when(k == 8, '"abc"').when(k == 9, "9000000000000000").when(k == 10, "null").otherwise((F.col("ms") + i * 1000).cast("string"))
     if rule == "j":
-        return F.concat(F.lit('[["'), text_of_cents(F.col("c") + i), F.lit('","'), n.cast("string"), F.lit('"]]'))
-    return F.when(n % 2 == 0, "true").otherwise("false")
+        return F.when(k == 2, "null").otherwise(F.concat(F.lit('[["'), text_of_cents(F.col("c") + i), F.lit('","'), n.cast("string"), F.lit('"]]')))
+    truth = F.when(n % 2 == 0, "true").otherwise("false")
+    return F.when(k == 10, quote(truth)).when(k == 0, "1").otherwise(truth)
 
 
 def _sql(rule: str, key: str, i: int, table: Table) -> str:
+    spot = table.rules == "spot"
     if rule == "s":
-        return "sym" if key.rpartition(".")[2] == "s" else f"'v{i}'"
+        return f"CASE WHEN n % {ODD} IN (1, 2) THEN '' ELSE {'sym' if key.rpartition('.')[2] == 's' else f"'v{i}'"} END"
+    none, zero = ("0" if spot else "NULL"), ("ms + 1000" if spot else "0")
+    window = " ".join(f"WHEN {k} THEN '{e.removesuffix('Ticker')}'" for k, e in enumerate(table.events))
     return {
-        "d": f"(c + {i}) / 100.0::DOUBLE", "u": f"n + {i}", "i": f"n + {i}", "t": f"ms + {i * 1000}", "rx": "ms + 1000", "st": "CAST(st AS INTEGER)",
-        "w": f"'{table.events[0].removesuffix('Ticker')}'", "src": f"'binance_{'spot' if table.rules == 'spot' else 'usdm'}_websocket'",
-        "j": f"'[[\"' || ((c + {i}) // 100) || '.' || lpad(CAST((c + {i}) % 100 AS VARCHAR), 2, '0') || '\",\"' || (n + {i}) || '\"]]'", "b0": f"(n + {i}) % 2 = 0", "b1": f"(n + {i}) % 2 = 0",
+        "d": f"CASE WHEN n % {ODD} IN (3, 4, 5) THEN {none} WHEN n % {ODD} = 6 THEN -(c + {i}) / 100.0::DOUBLE ELSE (c + {i}) / 100.0::DOUBLE END",
+        "u": f"CASE WHEN n % {ODD} IN (5, 7, 8) THEN 0 ELSE n + {i} END", "i": f"CASE WHEN n % {ODD} IN (7, 8) THEN 0 WHEN n % {ODD} = 5 THEN -(n + {i}) ELSE n + {i} END",
+        "t": f"CASE WHEN n % {ODD} IN (7, 8, 10) THEN {zero} WHEN n % {ODD} = 9 THEN ms + 1000 ELSE ms + {i * 1000} END", "rx": "ms + 1000", "st": "CAST(st AS INTEGER)",
+        "w": f"CASE n % {len(table.events)} {window} END", "src": f"'binance_{'spot' if spot else 'usdm'}_websocket'",
+        "j": f"CASE WHEN n % {ODD} = 2 THEN '[]' ELSE '[[\"' || ((c + {i}) // 100) || '.' || lpad(CAST((c + {i}) % 100 AS VARCHAR), 2, '0') || '\",\"' || (n + {i}) || '\"]]' END",
+        "b0": f"(n + {i}) % 2 = 0 AND n % {ODD} NOT IN (0, 10)", "b1": f"(n + {i}) % 2 = 0 OR n % {ODD} IN (0, 10)",
     }[rule]
 
 
 def payloads(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw payload for each line, whose event has a value for every column of the table."""
     spec = TABLES[name]
-    pieces: dict[str, list[Column]] = {"": [F.lit(f'"e":"{spec.events[0]}"')] if spec.events[0] else []}
+    kind = F.element_at(F.array(*[F.lit(f'"e":"{e}"') for e in spec.events]), (F.col("n") % len(spec.events) + 1).cast("int"))
+    pieces: dict[str, list[Column]] = {"": [kind] if spec.events[0] else []}
     for i, c in enumerate(spec.columns):
         if c.key:
             outer, _, key = c.key.rpartition(".")
             pieces.setdefault(outer, []).append(F.concat(F.lit(f'"{key}":'), _token(c.rule, c.key, i)))
     if spec.rules == "futures":
-        pieces[""].append(F.concat(F.lit('"st":'), F.col("st").cast("string")))
+        st = F.concat(F.lit('"st":'), F.col("st").cast("string"))
+        # Some nested events have it inside only; what stands outside counts before that.
+        inside = F.col("n") % ODD == 1
+        pieces[""].append(F.when(inside, '"st":null').otherwise(st) if spec.nested else st)
+        if spec.nested:
+            pieces[spec.nested].append(F.when(inside, st).otherwise('"st":2'))
     top = list(pieces[""])
     top += [F.concat(F.lit(f'"{k}":{{'), F.concat_ws(",", *v), F.lit("}")) for k, v in pieces.items() if k]
     body = F.concat(F.lit('{"stream":"x@bookTicker","data":{'), F.concat_ws(",", *top), F.lit("}}"))
@@ -95,10 +116,10 @@ INVENTORY_SQL = """SELECT 'a/usdm/t' || (o_custkey % 2) || '/' || strftime(date_
 
 
 def depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as spot depth updates of ten books; ids run on, with a gap where event_id % 97 is 0."""
+    """events as spot depth updates of a book for each user; ids run on, with a gap where event_id % 97 is 0."""
     from pyspark.sql import Window as W
 
-    e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("U"), F.col("user_id") % 10).alias("symbol"))
+    e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("U"), F.col("user_id")).alias("symbol"))
     seq = F.row_number().over(W.partitionBy("symbol").orderBy("event_id"))
     e = e.withColumn("seq", seq)
     side = lambda k: F.concat(F.lit('[["'), text_of_cents((F.col("event_id") * k) % 50 + 100 * k), F.lit('","'), (F.col("event_id") % 4).cast("string"), F.lit('"]]'))
@@ -109,9 +130,9 @@ def depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def book_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = depth(spark, sf_dir).filter("event_id % 500 = 0")
+    d = depth(spark, sf_dir).filter("event_id % 20 = 0")
     return d.select(F.lit("x").alias("exchange"), "market", "symbol", F.col("event_time").alias("captured_at"), F.col("event_time").alias("requested_at"), F.col("final_update_id").alias("last_update_id"), F.lit(500).alias("limit"), F.lit('{"bids":[["9.00","7"]],"asks":[["99.00","7"]]}').alias("payload"))
 
 
-DEPTH_SQL = """SELECT event_id, 'U' || (user_id % 10) AS symbol, row_number() OVER (PARTITION BY user_id % 10 ORDER BY event_id) AS seq,
+DEPTH_SQL = """SELECT event_id, 'U' || user_id AS symbol, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq,
   ((event_id) % 50 + 100) / 100.0::DOUBLE AS bid, ((event_id * 2) % 50 + 200) / 100.0::DOUBLE AS ask, CAST(event_id % 4 AS DOUBLE) AS quantity FROM events"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -133,3 +135,13 @@ def absolute(spark: SparkSession, folder: str) -> str:
 def removed(spark: SparkSession, folder: str) -> None:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below the session's spark.checkpoint.dir. Where that is unset, a local one, but on a local master only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{shared}/{uuid.uuid4().hex}"
