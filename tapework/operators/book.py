@@ -11,6 +11,8 @@ from tapework.functions.schemas import SCHEMAS
 from tapework.operators.normalise import enforced
 
 KEY = ["market", "symbol"]
+#: Slices that the books' rows are cut into at most.
+MOST_SLICES = 1000
 
 
 def levels(updates: DataFrame) -> DataFrame:
@@ -36,12 +38,42 @@ def snapshot_as_of(snapshots: DataFrame, at: object) -> DataFrame:
     return old.groupBy(*KEY).agg(F.max_by(F.struct(*columns), F.struct("captured_at", "last_update_id")).alias("s")).select(*KEY, "s.*")
 
 
+def _edges(df: DataFrame, by: Column) -> list[float]:
+    """Values of `by` that cut all rows into about as many equal slices as there are shuffle partitions."""
+    n = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2), MOST_SLICES)
+    found = df.agg(F.percentile_approx(by.cast("double"), [k / n for k in range(1, n)], 10 * n).alias("e")).first().e
+    return sorted(set(found or []))
+
+
+def _slice(by: Column, edges: list[float]) -> Column:
+    """The slice of a value: how many edges are below it. Larger values are in no earlier slice."""
+    return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < by.cast("double"))) if edges else F.lit(0)
+
+
+def _carried(df: DataFrame, value: Column) -> DataFrame:
+    """Of each book and slice of df: what the slices before it hold last, `value` being the last of a slice. One row a slice passes through a book's window, whatever its rows."""
+    last = df.groupBy(*KEY, "__slice").agg(value.alias("__last"))
+    before = F.last("__last", ignorenulls=True).over(W.partitionBy(*KEY).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1))
+    return last.select(*[F.col(c).alias(f"__{c}") for c in KEY], F.col("__slice").alias("__s"), before.alias("__before"))
+
+
+def _with_before(df: DataFrame, value: Column) -> DataFrame:
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in KEY] + [F.col("__slice") == F.col("__s")]
+    return df.join(_carried(df, value), same, "left").drop(*[f"__{c}" for c in KEY], "__s")
+
+
 def snapshots_as_of(snapshots: DataFrame, times: DataFrame) -> DataFrame:
-    """times (market, symbol, at) and the newest snapshot's last_update_id and captured_at, by one pass over both; no join by range."""
+    """times (market, symbol, at) and the newest snapshot's last_update_id and captured_at, by one pass over both; no join by range.
+
+    Books are cut into slices of time, each a window of its own; what a slice does not see itself is carried from those before it. So a book with a very large history is many tasks.
+    """
     s = snapshots.select(*KEY, F.col("captured_at").alias("t"), F.struct("captured_at", "last_update_id").alias("s"), F.lit(0).alias("asks"))
     q = times.select(*KEY, F.col("at").alias("t"), F.lit(None).cast(s.schema["s"].dataType).alias("s"), F.lit(1).alias("asks"))
-    w = W.partitionBy(*KEY).orderBy("t", "asks", F.col("s.last_update_id")).rowsBetween(W.unboundedPreceding, 0)
-    return s.unionByName(q).withColumn("s", F.last("s", ignorenulls=True).over(w)).filter("asks = 1").select(*KEY, F.col("t").alias("at"), "s.captured_at", "s.last_update_id")
+    both = s.unionByName(q)
+    both = both.withColumn("__slice", _slice(F.unix_micros("t"), _edges(both, F.unix_micros("t"))))
+    w = W.partitionBy(*KEY, "__slice").orderBy("t", "asks", F.col("s.last_update_id")).rowsBetween(W.unboundedPreceding, 0)
+    found = _with_before(both, F.max("s")).withColumn("s", F.coalesce(F.last("s", ignorenulls=True).over(w), F.col("__before")))
+    return found.filter("asks = 1").select(*KEY, F.col("t").alias("at"), "s.captured_at", "s.last_update_id")
 
 
 def applicable(updates: DataFrame, chosen: DataFrame, at: object) -> DataFrame:
@@ -51,13 +83,20 @@ def applicable(updates: DataFrame, chosen: DataFrame, at: object) -> DataFrame:
 
 
 def continuity(updates: DataFrame, futures: bool = False) -> DataFrame:
-    """updates (with last_update_id of their snapshot) and `chained`: whether each follows the one before, and the first bridges the snapshot."""
-    before = F.lag("final_update_id").over(W.partitionBy(*KEY).orderBy("final_update_id", "first_update_id"))
+    """updates (with last_update_id of their snapshot) and `chained`: whether each follows the one before, and the first bridges the snapshot.
+
+    Books are cut into slices of ids, each a window of its own; its first row follows the last id of the slices before. So a book with very many updates is many tasks.
+    """
+    id_ = F.col("final_update_id")
+    cut = updates.withColumn("__slice", _slice(id_, _edges(updates, id_)))
+    own = F.lag(id_).over(W.partitionBy(*KEY, "__slice").orderBy("final_update_id", "first_update_id"))
+    cut = _with_before(cut, F.max(id_)).withColumn("__before", F.coalesce(own, F.col("__before")))
+    before = F.col("__before")
     if futures:
         good = F.when(before.isNull(), F.col("previous_final_update_id") <= F.col("last_update_id")).otherwise(F.col("previous_final_update_id") == before)
     else:
         good = F.when(before.isNull(), F.col("first_update_id") <= F.col("last_update_id") + 1).otherwise(F.col("first_update_id") == before + 1)
-    return updates.withColumn("chained", good)
+    return cut.withColumn("chained", good).drop("__slice", "__before")
 
 
 def verdict(books: DataFrame, chosen: DataFrame, chain: DataFrame) -> DataFrame:
