@@ -30,9 +30,11 @@ def components(links: DataFrame) -> DataFrame:
             return found
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """How many edges there are, and a sum of hashes by which two tables of them are told apart."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) leads to a centre: no node leads to two others, and none that is led to leads on."""
+    end = lambda c, out: edges.select(F.col(c).alias("v"), F.lit(out).alias("out"), F.lit(1 - out).alias("into"))
+    ends = end("a", 1).unionByName(end("b", 0)).groupBy("v").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return ends.filter("out > 1 OR (out = 1 AND into = 1)").isEmpty()
 
 
 def star_components(links: DataFrame) -> DataFrame:
@@ -43,9 +45,7 @@ def star_components(links: DataFrame) -> DataFrame:
     """
     # An edge points from the larger to the smaller node.
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
-    while mark != (now := _mark(edges)):
-        mark = now
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("m"))
         large = stored(both.filter("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())

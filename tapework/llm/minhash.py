@@ -2,7 +2,7 @@
 
 Documents with equal sets are one class. Classes that share a band meet. First each is compared with the pivots of its bands only, so that a family of copies becomes
 one component by as many pairs as it has members; then, where a band still holds several components, all pairs across them. A pair is compared by signature
-first; what that cannot rule out is confirmed on the full sets.
+first, then by counts that bound the overlap; what neither can rule out is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tapework.llm.common import forget, made_from, stored
 from tapework.llm.fullsets import confirmed, shingle_sets
 from tapework.llm.graph import star_components
-from tapework.llm.ngramjoin import BLOCK, block_pairs, blocks, join_sql, repeated_ids, stars
+from tapework.llm.ngramjoin import BLOCK, block_pairs, blocks, fine_point, join_sql, overlap_bound, repeated_ids, stars
 from tapework.llm.wordhash import batches, mix
 
 #: Words of a shingle; linked: 100 * intersection >= PERCENT * union.
@@ -27,6 +27,8 @@ SHINGLE, PERCENT = 3, 85
 #: Minima of a signature in bands of ROWS. Two sets at the least linked similarity share no band once in about 10**10 such pairs.
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
+#: Bytes of a point before its counts: minima and keys.
+HEAD = HASHES + 4 * BANDS
 #: The share of pairs at the least linked similarity that the signature may rule out.
 MISS = 1e-10
 
@@ -62,8 +64,16 @@ def bands(rows: np.ndarray) -> np.ndarray:
     return key
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """Half of a band's key, by which rows of one task tell which bands they share."""
+    return (keys.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n (size of the set), sig1 and sig2 (hashes of the whole set), prefix (keys of its bands) and point (the last byte of each of its minima)."""
+    """doc_id, n (size of the set), sig1 and sig2 (hashes of the whole set), prefix (keys of its bands) and point.
+
+    A point is the last byte of each minimum, half of each band's key, and the set's counts by group, whose summed minima bound an overlap from above.
+    """
 
     def make(texts: list[str | None]) -> dict[str, pa.Array]:
         n, sigs, keys, points = [], [[], []], [], []
@@ -71,13 +81,14 @@ def signed(docs: DataFrame) -> DataFrame:
             sets = list(shingle_sets(group, SHINGLE))
             some = [s for s in sets if len(s)]
             rows = minima(some) if some else np.empty((0, HASHES), np.uint32)
-            key, short, at = bands(rows).view(np.int64), (rows & 255).astype(np.uint8), 0
+            key, at = bands(rows).view(np.int64), 0
+            head = np.hstack([(rows & 255).astype(np.uint8), short(key).view(np.uint8).reshape(-1, 4 * BANDS)])
             for s in sets:
                 n.append(len(s))
                 for sig, salt in zip(sigs, (0, 0x5851F42D4C957F2D), strict=True):
                     sig.append(np.bitwise_xor.reduce(mix(s ^ np.uint64(salt))) if len(s) else np.uint64(0))
                 keys.append(key[at] if len(s) else key[:0].reshape(-1))
-                points.append(short[at].tobytes() if len(s) else b"")
+                points.append(head[at].tobytes() + fine_point(s) if len(s) else b"")
                 at += len(s) > 0
         offsets = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
         values = np.concatenate(keys) if keys else np.empty(0, np.int64)
@@ -87,39 +98,57 @@ def signed(docs: DataFrame) -> DataFrame:
     return made_from(docs.select(F.col("doc_id").cast("long"), "text"), "text", make, "n long, sig1 long, sig2 long, prefix array<long>, point binary", keep=["doc_id"])
 
 
+def heads(points: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of points, the bytes of their minima and the halves of their bands' keys."""
+    head = np.frombuffer(b"".join([p[:HEAD] for p in points]), np.uint8).reshape(-1, HEAD)
+    return head[:, :HASHES], np.ascontiguousarray(head[:, HASHES:]).view(np.uint32)
+
+
+def may_link(x: bytes, y: bytes, n: int, percent: int) -> bool:
+    """Whether the counts of two points allow a link; n: the sum of their sets' sizes."""
+    return (100 + percent) * overlap_bound(x[HEAD:], y[HEAD:]) >= percent * n
+
+
 def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and signatures allow a link."""
+    """The pairs (a, b) whose sizes, signatures and counts allow a link."""
     least = least_matches(percent)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                x, y = (np.frombuffer(b"".join(f[c]), np.uint8).reshape(-1, HASHES) for c in ("x", "y"))
-                f = f[(x == y).sum(1) >= least]
+                f = f[(heads(list(f["x"]))[0] == heads(list(f["y"]))[0]).sum(1) >= least]
+                f = f[[may_link(x, y, n, percent) for x, y, n in zip(f["x"], f["y"], f["n"], strict=True)]]
             yield f[["a", "b"]]
 
     of = lambda k, x: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("point").alias(x))
     both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").filter(f"100 * na >= {percent} * nb AND 100 * nb >= {percent} * na")
-    return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "x", "y").mapInPandas(run, "a long, b long")
 
 
-def signature_pairs(points: list[bytes], n: np.ndarray, component: np.ndarray, side: np.ndarray | None, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of one block, of different components and like sizes, whose signatures allow a link; with side, only those across the two sides."""
-    least = least_matches(percent)
+def signature_pairs(points: list[bytes], n: np.ndarray, component: np.ndarray, side: np.ndarray | None, key: int, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of one block, of different components and like sizes, whose signatures and counts allow a link; with side, only those across the two sides.
+
+    A pair that shares several bands is listed in the block of the first of them.
+    """
+    least, own = least_matches(percent), short(np.array([key], np.int64))[0]
     by = np.argsort(n, kind="stable")
-    x, n, component = np.frombuffer(b"".join(points), np.uint8).reshape(-1, HASHES)[by], n[by], component[by]
+    points, n, component = [points[i] for i in by], n[by], component[by]
     side = None if side is None else side[by]
+    x, keys = heads(points)
     # Sizes ascend: a row meets those behind it up to the largest size that it can be linked with.
     end = np.searchsorted(n, 100 * n // percent, "right")
     for i in range(len(n) - 1):
+        if end[i] <= i + 1:
+            continue
         later = np.arange(i + 1, end[i])
         later = later[component[later] != component[i]]
         if side is not None:
             later = later[side[later] != side[i]]
+        later = later[keys[i][(keys[later] == keys[i]).argmax(1)] == own]
+        later = later[(x[later] == x[i]).sum(1) >= least]
+        later = np.array([j for j in later if may_link(points[i], points[j], int(n[i] + n[j]), percent)], np.int64)
         if len(later):
-            later = later[(x[later] == x[i]).sum(1) >= least]
-            if len(later):
-                yield by[np.full(len(later), i)], by[later]
+            yield by[np.full(len(later), i)], by[later]
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

@@ -34,8 +34,8 @@ GROUPS = 128
 PER_COUNTER, MOST_COUNTERS, SLICE = 64, 1 << 22, 1 << 12
 #: Points of a leaf; points of a block that one task joins, beyond which blocks are cut.
 LEAF, BLOCK = 8, 4_000
-#: Of a block's points, sizes, components and sides (or None), the pairs of rows that may be linked.
-PairFinder = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray | None], Iterator[tuple[np.ndarray, np.ndarray]]]
+#: Of a block's points, sizes, components, sides (or None) and key, the pairs of rows that may be linked.
+PairFinder = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray | None, int], Iterator[tuple[np.ndarray, np.ndarray]]]
 #: Heads of blocks that a set is compared with before blocks are searched; what they leave unlinked, the search finds.
 HEADS = 2
 
@@ -275,12 +275,12 @@ def gathered(lots: Iterator[tuple[np.ndarray, ...]], most: int = 500_000) -> Ite
 
 
 def tree_pairs(percent: int) -> PairFinder:
-    return lambda points, n, component, side: gathered(Tree(unpacked(points), n, component).pairs(percent, side))
+    return lambda points, n, component, side, _: gathered(Tree(unpacked(points), n, component).pairs(percent, side))
 
 
 def block_pairs(members: DataFrame, points: DataFrame, block: int, finder: PairFinder) -> DataFrame:
-    """a, b: distinct pairs of different components that finder lets through, of members (key, rep, component). finder gets a block's points, sizes, components and,
-    where only pairs across two sides count, sides; it yields pairs of rows.
+    """a, b: distinct pairs of different components that finder lets through, of members (key, rep, component). finder gets a block's points, sizes, components,
+    sides where only pairs across two sides count, and its key; it yields pairs of rows.
 
     A block that is too large for a task is cut. Its largest component needs no comparison with itself: its parts each meet the parts of the rest, and only the
     rest's parts meet one another.
@@ -319,7 +319,7 @@ def block_pairs(members: DataFrame, points: DataFrame, block: int, finder: PairF
             for a, b in itertools.pairwise(starts if last else starts[:-1]):
                 if b - a > 1:
                     rep, n, component, side, cross, x = (c[a:b] for c in columns)
-                    for i, j in finder(list(x), n, component, side if cross.any() else None):
+                    for i, j in finder(list(x), n, component, side if cross.any() else None, int(key[a][0])):
                         found.append((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])))
             if found:
                 yield pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])}).drop_duplicates()

@@ -84,6 +84,22 @@ def test_signature_bounds():
     assert len(set(keys.ravel().tolist())) == 2 * minhash.BANDS - int(same.sum())
 
 
+def test_a_pair_is_listed_in_its_first_band():
+    r = np.random.default_rng(8)
+    x = r.integers(0, 2**63, 400).astype(np.uint64)
+    sets = [np.unique(np.delete(x, r.integers(0, 400, 8))) for _ in range(12)]
+    rows = minhash.minima(sets)
+    keys = minhash.bands(rows).view(np.int64)
+    head = np.hstack([(rows & 255).astype(np.uint8), minhash.short(keys).view(np.uint8).reshape(-1, 4 * minhash.BANDS)])
+    points = [h.tobytes() + minhash.fine_point(s) for h, s in zip(head, sets, strict=True)]
+    seen = []
+    for key in np.unique(keys):
+        at = np.flatnonzero((keys == key).any(1))
+        for i, j in minhash.signature_pairs([points[k] for k in at], np.array([len(sets[k]) for k in at]), at, None, int(key)):
+            seen += [tuple(sorted(p)) for p in zip(at[i].tolist(), at[j].tolist(), strict=True)]
+    assert sorted(seen) == [(a, b) for a in range(12) for b in range(a + 1, 12) if (keys[a] == keys[b]).any()]
+
+
 def test_stars(spark):
     r = np.random.default_rng(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 180)] + [(a, b) for a, b in r.integers(200, 320, (70, 2)).tolist()] + [(400, 400), (500, 501), (501, 500)]
