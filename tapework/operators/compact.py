@@ -93,17 +93,6 @@ def with_previous(new: DataFrame, previous: DataFrame | None, sources: list[str]
     return rows, left
 
 
-def write_compacted(df: DataFrame, path: str) -> None:
-    df.write.options(**LAYOUT).mode("errorifexists").parquet(path)
-
-
-def verified(spark: SparkSession, rows_in: int, path: str) -> int:
-    rows = spark.read.parquet(path).count()
-    if rows != rows_in:
-        raise ValueError(f"{path} has {rows} rows, its sources have {rows_in}")
-    return rows
-
-
 # Compacted files of a store stand in <root>/_compacted/data/table=T/version=V/partition=P/market=M/date=D/hour=HH, which listings of the store leave out. They count once
 # <root>/_compacted/records/V names them, which appears by one rename: a row for each partition, with its output's files and all sources that they stand for.
 RECORD = "version string, table string, prefix string, hour timestamp, completed_at timestamp, partition string, output_keys array<string>, input_files bigint, input_bytes bigint, rows bigint, source_keys array<string>, source_bytes bigint, consumed array<string>, replaced array<string>"
@@ -122,8 +111,8 @@ def records(spark: SparkSession, root: str, table: str | None = None) -> DataFra
 
 
 def newest(recorded: DataFrame) -> DataFrame:
-    """The record in force of each partition of a table."""
-    return recorded.groupBy("table", "prefix").agg(F.max_by(F.struct(*[c for c in recorded.columns if c not in ("table", "prefix")]), F.struct("completed_at", "version")).alias("r")).select("table", "prefix", "r.*")
+    """The record in force of each partition of a table: each stands for all sources of those before it and some more, whatever clocks say."""
+    return recorded.groupBy("table", "prefix").agg(F.max_by(F.struct(*[c for c in recorded.columns if c not in ("table", "prefix")]), F.struct(F.size("consumed"), F.col("version"))).alias("r")).select("table", "prefix", "r.*")
 
 
 def retired(spark: SparkSession, root: str) -> DataFrame:
@@ -277,9 +266,18 @@ def live(spark: SparkSession, root: str, table: str) -> DataFrame:
     return compacted.unionByName(sources.withColumn("__path", path).join(pending, F.col("__path") == F.col("p"), "left_anti").drop("__path"))
 
 
-def completion(spark: SparkSession, completed_at: object, output_key: str, input_files: int, input_bytes: int, rows: int, source_keys: list[str]) -> DataFrame:
-    schema = "output_key string, input_files bigint, input_bytes bigint, rows bigint, source_keys array<string>"
-    return spark.createDataFrame([(output_key, input_files, input_bytes, rows, source_keys)], schema).select(F.lit(completed_at).cast("timestamp").alias("completed_at"), "*")
+def job(spark: SparkSession, root: str, now: dt.datetime, retention: str | None = None, tables: tuple[str, ...] = tuple(SCHEMAS), first: int = 500, lookback_hours: int = LOOKBACK_HOURS, **rules: int) -> DataFrame:
+    """One run over a store: lists the hours in question only, plans, compacts table by table, and retires what is replaced. Returns the new records.
+
+    It can be run again at any time: what an earlier run has left undone is done, and where nothing is left to do it ends without a record.
+    """
+    # The first day counts whole.
+    plan = candidates(inventory(spark, root, now, lookback_hours + 24), now, lookback_hours=lookback_hours, **rules)
+    found = spark.createDataFrame([], RECORD)
+    for table in tables:
+        found = found.unionByName(compact_table(spark, plan, table, root, first=first))
+    retire(spark, root, retention)
+    return found
 
 
 def updated_checkpoint(checkpoint: DataFrame, done: DataFrame, now: object, lookback_hours: int = LOOKBACK_HOURS) -> DataFrame:

@@ -189,3 +189,17 @@ def test_inventory_lists_only_the_hours_asked_for(spark, tmp_path):
     assert len(found.inputFiles()) == 10
     assert scans.inventory(spark, str(tmp_path), dt.datetime(2030, 1, 1), 48).isEmpty()
     assert scans.inventory(spark, str(tmp_path)).count() == 1460
+
+
+def test_a_job_ends(spark, tmp_path):
+    root, now = str(tmp_path / "root"), dt.datetime(2026, 8, 4, 5)
+    segments(spark, root, (1, 2), 0)
+    want = ids(compact.live(spark, root, "trades"))
+    run = lambda: compact.job(spark, root, now, tables=("klines", "trades"), minimum_files=2)
+    assert sorted(r.hour.hour for r in run().collect()) == [1, 2] and store_files(root) == []
+    assert run().isEmpty() and ids(compact.live(spark, root, "trades")) == want
+    # Of a run that ended before it retired anything, the next one does that.
+    segments(spark, root, (2,), 50)
+    want = ids(compact.live(spark, root, "trades"))
+    compact.compact_table(spark, planned(spark, root), "trades", root, NOW)
+    assert len(store_files(root)) == 3 and run().isEmpty() and store_files(root) == [] and ids(compact.live(spark, root, "trades")) == want
