@@ -39,6 +39,8 @@ POINTED = re.compile(
     r"(?:\"([^\s\"]{8,})\"|'([^\s']{8,})'|`([^\s`]{8,})`|[\"'`]?((?:(?!##|[,;&]\s*[\w.\-]+[\"']?\s*[=:])[^\s\"'`<>]){8,}))"
 )
 PARTS = "the and ing tion ation ment able port name user data file path test main index value string object class function return import export config service manager controller handler request response example sample http https www com org html json page image style script button header footer content table list item default public static final window document element event listener component module package version build release error message".split()
+#: An address of mail or a host name: the words in it point nowhere.
+ADDRESS = re.compile(r"[\w.+-]+@[\w.-]+|(?:[\w-]+\.)+(?:com|org|net|io|edu|gov|info|de|fr|es)\b")
 FILE_END = re.compile(r"\.(?:com|org|net|io|html?|php|js|css|json|png|jpe?g|gif|svg|md|py|java|txt|xml|pdf|zip)(?:[/?#]|$)", re.I)
 #: Labelled findings that training reads at most; trees, their depth, and candidates per leaf at least.
 MOST_FINDINGS, TREES, DEPTH, LEAF, SEED = 20_000, 25, 9, 5, 7
@@ -61,12 +63,13 @@ def features(value: str, before: str, after: str) -> list[float]:
     runs = [len(x) for x in re.findall(r"[A-Za-z]+", value)]
     tail = left[-BESIDE:]
     near = re.split(r"[^a-z0-9_-]+", tail)[-5:]
+    plain = re.split(r"[^a-z0-9_-]+", ADDRESS.sub(" ", tail))[-5:]
     return [
         n, len(counts) / n, -sum(c / n * math.log2(c / n) for c in counts), sum(a != b for a, b in zip(kinds, kinds[1:])) / max(n - 1, 1),
         kinds.count("d") / n, kinds.count("u") / n, max(runs, default=0) / n, float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))), covered.mean(),
         value.count("/"), value.count("."), value.count("-"), float(bool(FILE_END.search(value)) or tail.endswith(("://", "/", "\\")) or value.startswith("/")), float(bool(KNOWN_FORM.match(value))),
         float(bool(re.search(r"[\w\]\"'-]\s*(?:=|:|=>|:=)\s*[\"'`]?$", before))), float(before[-1:] in "\"'`" and before != "" and after[:1] in "\"'`"),
-        float(any(w in POINTING or any(w.endswith((f"_{p}", f"-{p}")) for p in POINTING) for w in near)), float(any(w in AWAY for w in near) or any(w in low for w in AWAY if len(w) > 4)),
+        float(any(w in POINTING or any(w.endswith((f"_{p}", f"-{p}")) for p in POINTING) for w in near)), float(any(w in AWAY for w in plain) or any(w in low for w in AWAY if len(w) > 4)),
         float(value.isdigit()), max(counts) / n,
     ]
 
