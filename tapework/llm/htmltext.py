@@ -23,6 +23,13 @@ BLOCKS = frozenset("address article blockquote body br dd details div dl dt fiel
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 P_STOPS = BLOCKS - {"p"}
 CLOSES_P = BLOCKS - {"br", "body", "html"}
+#: Kinds of elements that close one another, and what they are not looked for beyond: paragraphs, then items of lists and tables.
+_LISTS = frozenset("ul ol dl table select".split())
+KINDS = ((frozenset(["p"]), P_STOPS), *((frozenset(kind.split()), _LISTS) for kind in ("li", "dd dt", "tr", "td th", "option")))
+ITEMS = {name: k for k, (kind, _) in enumerate(KINDS) if k for name in kind}
+SCOPED = frozenset().union(*(kind | stops for kind, stops in KINDS))
+#: Elements that text is told in; a line that stands bare in a container beside them is none of an article's.
+TOLD = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption caption".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 #: Words in a class, id or role that mark menus, notices, adverts and reader comments. They and forms count only where size and density agree.
 NOISE = re.compile(r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav(?:igation|bar)?|menu|breadcrumbs?|sidebar|footer|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social|comments?|comment-list|respond|replies|related|recommended|widget|toolbar|pagination|complementary|contentinfo|search)(?:$|[-_ ])", re.I)
@@ -38,13 +45,16 @@ MOST, SOME, NEARLY_ALL, WIDENS, A_LINE = 0.5, 0.2, 0.9, 0.1, 200
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "noise", "pieces", "doubt", "marks", "kind")
+    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "noise", "pieces", "doubt", "marks", "kind", "scope", "told", "headed")
 
     def __init__(self, name: str, parent: Node | None, noise: bool = False, doubt: bool = False, marks: str = "", kind: str = ""):
         self.name, self.parent, self.noise, self.doubt, self.marks, self.kind = name, parent, noise, doubt, marks, kind
         self.children: list[Node] = []
         self.pieces: list[str | Node] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.chars = self.tags = self.link_chars = self.link_tags = self.told = self.headed = 0
+        # The open element of each kind that a new one of the kind would close, so that none is searched for.
+        above = parent.scope if parent else (None,) * len(KINDS)
+        self.scope = tuple(self if name in kind else None if name in stops else up for up, (kind, stops) in zip(above, KINDS, strict=True)) if name in SCOPED else above
 
 
 def parse(html: str) -> Node:
@@ -76,12 +86,10 @@ def parse(html: str) -> Node:
                     up = up.parent
                 node = up_to(up.parent)
             continue
-        if open_["p"] and (name in CLOSES_P or name == "p"):
-            node = up_to(_closed(node, {"p"}, P_STOPS))
-        if name in ("li", "dd", "dt", "tr", "td", "th", "option"):
-            names = {"dd", "dt"} if name in ("dd", "dt") else {"td", "th"} if name in ("td", "th") else {name}
-            if any(open_[n] for n in names):
-                node = up_to(_closed(node, names, {"ul", "ol", "dl", "table", "select"}))
+        if (name in CLOSES_P or name == "p") and node.scope[0]:
+            node = up_to(node.scope[0].parent)
+        if name in ITEMS and (item := node.scope[ITEMS[name]]):
+            node = up_to(item.parent)
         marked = MARKED.findall(m[3]) if m[3] else []
         marks = " ".join(filter(None, (y for x in marked for y in x)))
         doubt = name == "form" or name not in ("body", "html", "main") and any(NOISE.search(" ".join(filter(None, x))) for x in marked)
@@ -99,15 +107,6 @@ def parse(html: str) -> Node:
     return root
 
 
-def _closed(node: Node, names: set[str], stop: frozenset[str] | set[str]) -> Node:
-    up: Node | None = node
-    while up and up.parent and up.name not in stop:
-        if up.name in names:
-            return up.parent
-        up = up.parent
-    return node
-
-
 def _in_order(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
@@ -121,12 +120,14 @@ def _in_order(root: Node) -> list[Node]:
 def _count(order: list[Node]) -> None:
     for n in reversed(order):
         if n.noise:
-            n.chars = n.tags = n.link_chars = n.link_tags = 0
+            n.chars = n.tags = n.link_chars = n.link_tags = n.told = n.headed = 0
             continue
         n.chars = sum(len(p.strip()) for p in n.pieces if isinstance(p, str)) + sum(c.chars for c in n.children)
         n.tags = sum(1 + c.tags for c in n.children if not c.noise)
         n.link_chars = n.chars if n.name == "a" else sum(c.link_chars for c in n.children)
         n.link_tags = sum((c.name == "a") + c.link_tags for c in n.children if not c.noise)
+        n.told = n.chars - n.link_chars if n.name in TOLD else sum(c.told for c in n.children)
+        n.headed = int(n.name in ("h1", "h2", "h3") and n.chars > 0 or any(c.headed for c in n.children))
 
 
 def _holds(a: Node, b: Node | None) -> bool:
@@ -189,15 +190,25 @@ def main_node(root: Node) -> Node | None:
     # Inline markup and single paragraphs are parts of the article, not the article.
     while best is not body and (best.name not in BLOCKS or best.name in ("p", "li", "td", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6")):
         best = best.parent
-    # Unclosed inline elements nest later paragraphs; the article that holds them is the nearest named container.
-    up: Node | None = best
-    while up is not None and up is not body:
-        if up.name in ("article", "main"):
-            return up
-        up = up.parent
+    best = _narrowed(best)
     return _widened(best, body, dense, threshold)
 
 
+def _narrowed(best: Node) -> Node:
+    """The lowest container that holds nearly all that is told in paragraphs, headings and items: bare lines and links beside it are no article.
+
+    These must hold half of the free text, unless they are a heading and more in one container.
+    """
+    def whole(n: Node) -> bool:
+        return n.headed and sum(c.told > 0 for c in n.children) > 1
+
+    inner: Node | None = best
+    while inner is not None:
+        best, free = inner, inner.chars - inner.link_chars
+        inner = next((c for c in best.children if not c.noise and c.name in BLOCKS and c.name not in TOLD and c.told and c.told >= NEARLY_ALL * best.told and (2 * c.told >= free or whole(c))), None)
+    return best
+
+
 def _widened(best: Node, body: Node, dense: dict[int, float], threshold: float) -> Node:
     """The highest ancestor whose other children are parts of the same text. Lists of links beside the way to it become noise.
 
@@ -211,7 +222,7 @@ def _widened(best: Node, body: Node, dense: dict[int, float], threshold: float)
     way, result = best, best
     while way is not body and way.parent is not None:
         on, way = way, way.parent
-        parts = [c for c in way.children if c is not on and not c.noise and c.name in BLOCKS and c.chars and 2 * c.link_chars <= c.chars and (dense[id(c)] >= threshold or plain(c) >= least)]
+        parts = [c for c in way.children if c is not on and not c.noise and c.name in BLOCKS and c.chars and 2 * c.link_chars <= c.chars and (c.told or not best.told) and (dense[id(c)] >= threshold or plain(c) >= least)]
         if sum(c.chars for c in parts) >= WIDENS * on.chars or any(c.kind and c.kind == on.kind for c in parts):
             result = way
     way = best
