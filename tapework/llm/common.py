@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 #: Lets Spark delete the shuffle files of a write once it is done; what was written is read from then on.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that reach Python at a time where they carry whole texts: a batch is held several times over, in the JVM and in Python.
+FEW_TEXTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 #: Bits of a sieve, in rows of 32768: 4 MB in all, whatever the number of ids.
 SIEVE = 1 << 25
 

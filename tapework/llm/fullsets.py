@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapework.llm.common import partitions, setting, sifted, stored
+from tapework.llm.common import FEW_TEXTS, partitions, setting, sifted, stored
 from tapework.llm.wordhash import Words, batches, mix
 
 #: Sets that are compared with one other set in one task, about.
@@ -77,5 +77,5 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataF
     either = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     dealt = sifted(texts, either, "rep").join(asks, "rep").select("a", "s", "later", "rep", "text")
     dealt = dealt.repartition(partitions(texts.sparkSession), "a", "s").sortWithinPartitions("a", "s", "later")
-    with setting(texts.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+    with setting(texts.sparkSession, FEW_TEXTS):
         return stored(dealt.mapInArrow(run, "a long, b long").distinct())

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapework.llm.common import forget, made_from, stored
+from tapework.llm.common import FEW_TEXTS, forget, made_from, setting, stored
 from tapework.llm.fullsets import confirmed, shingle_sets
 from tapework.llm.graph import star_components
 from tapework.llm.ngramjoin import BLOCK, block_pairs, blocks, fine_point, join_sql, overlap_bound, repeated_ids, stars
@@ -157,7 +157,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     Null, empty and wordless texts have an empty set, link with nothing and are kept. A null doc_id has a null component and is kept. Rows with the same set collapse before anything is
     paired; rows that repeat a doc_id are one node, whose sets all count. Other columns are ignored and an empty table gives none.
     """
-    marks = stored(signed(docs))
+    with setting(docs.sparkSession, FEW_TEXTS):
+        marks = stored(signed(docs))
     sig = ["sig1", "sig2", "n"]
     classes = stored(marks.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("point").alias("point")))
     members = stored(blocks(classes, percent))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapework.llm.common import forget, made_from, partitions, stored
+from tapework.llm.common import FEW_TEXTS, forget, made_from, partitions, setting, stored
 from tapework.llm.fullsets import confirmed, shingle_sets
 from tapework.llm.graph import components
 from tapework.llm.wordhash import Words, batches, mix
@@ -344,7 +344,8 @@ def linked(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataF
     Null, empty and wordless texts have an empty set and link with nothing; a null doc_id has a null component. Rows with the same set collapse before
     anything is paired. Rows that repeat a doc_id are one node, whose sets all count. Other columns are ignored and an empty table gives none.
     """
-    marks = stored(prints(docs, rarity(docs), percent))
+    with setting(docs.sparkSession, FEW_TEXTS):
+        marks = stored(prints(docs, rarity(docs), percent))
     sig = ["sig1", "sig2", "n"]
     some = marks.filter("n > 0 AND doc_id IS NOT NULL")
     classes = stored(some.groupBy(*sig).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("point").alias("point"), F.first("fine").alias("fine")))
