@@ -47,9 +47,14 @@ def placed(df: DataFrame) -> DataFrame:
 
 
 def hour_places(hours: list[str], table: str = "*", market: str = "*", exchange: str = "*") -> list[str]:
-    """The folders below a root that hold these hours (YYYY-MM-DD/HH), in both layouts."""
-    places = [f"{exchange}/{market}/{table}/{h}" for h in hours]
+    """The folders below a root that hold these hours (YYYY-MM-DD/HH), in both layouts: a few patterns for each day, so that what stands above it is listed a few times only."""
+    days: dict[str, list[str]] = {}
     for day, hour in (h.split("/") for h in hours):
+        days.setdefault(day, []).append(hour)
+    places = []
+    for day, own in days.items():
+        hour = own[0] if len(own) == 1 else f"{{{','.join(sorted(set(own)))}}}"
+        places.append(f"{exchange}/{market}/{table}/{day}/{hour}")
         places += [f"{batch}{table}/market={market}/date={day}/hour={hour}" for batch in ("", "batch=*/")]
     return places
 
