@@ -21,13 +21,11 @@ MARKETS, OTHER = ("spot", "usdm", "coinm"), "other"
 def write_table(rows: DataFrame, path: str, mode: str = "append", name: str | None = None) -> int:
     """One table's rows by market and the hour in which they arrived, ZSTD level 1; how many were written. With a name, rows must have that table's columns."""
     hour = floor_hour(F.col("received_at"))
-    target = F.col("target_market").alias("__market")
     if name is not None:
-        kept = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "target_market"])
-        enforced(kept, name)
+        enforced(rows.drop("target_market"), name)  # an error for other columns
         rows = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SCHEMAS[name]], "target_market")
     seen = Observation()
-    out = rows.withColumn("__market", target).drop("target_market").withColumns({"market": F.col("__market"), "date": F.date_format(hour, "yyyy-MM-dd"), "hour": F.date_format(hour, "HH")}).drop("__market")
+    out = rows.withColumns({"market": F.col("target_market"), "date": F.date_format(hour, "yyyy-MM-dd"), "hour": F.date_format(hour, "HH")}).drop("target_market")
     out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).partitionBy("market", "date", "hour").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(path)
     return seen.get["rows"]
 
