@@ -29,6 +29,8 @@ BATCH = 3_000_000
 LEAST = -(2**63)
 #: Spark may take a union of tables that are dealt alike for dealt so too, and then reads them in another way: what meets in it is shuffled.
 UNIONS = "spark.sql.unionOutputPartitioning"
+#: Lets Spark take a bucketed table's order as it was written, where each bucket is one file: runs are merged without being sorted anew.
+ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 RUN = "key long, d long, r long, first int, windows array<int>, sure array<int>"
 MANIFEST = "version int, path string, buckets int, upto long, window int, gram int"
 
@@ -178,7 +180,7 @@ class SubstringIndex:
         none = F.lit(None)
         found = codes.select("d", "r", (F.col("first") * F.lit(65536).cast("bigint") + F.col("bits")).alias("code"), none.cast("array<int>").alias("sure"))
         found = found.unionByName(fresh.filter("sure IS NOT NULL").select("d", "r", none.cast("bigint").alias("code"), "sure"))
-        with setting(self.spark, {UNIONS: "false"}):
+        with setting(self.spark, {UNIONS: "false", ORDERED: "true"}):
             found = stored(found.groupBy("d", "r").agg(F.collect_list("code").alias("codes"), F.flatten(F.collect_list("sure")).alias("starts")))
         self.runs = [*old, new]
         if len(self.runs) > self.fan_in:
