@@ -134,7 +134,8 @@ def columns(terms: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], names=["lang", "slice", "length", "source", "start", "count"])
 
     classes = terms.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("length")).select("lang", "counts", "length")
-    laid = classes.repartitionByRange("lang", "counts").sortWithinPartitions("lang", "counts")
+    # Ranges are drawn from the first few counts, as the driver holds a sample of what they are drawn from.
+    laid = classes.repartitionByRange("lang", F.slice("counts", 1, 3)).sortWithinPartitions("lang", "counts")
     return laid.mapInArrow(run, "lang string, slice long, length long, source string, start array<long>, count array<long>")
 
 
