@@ -9,8 +9,13 @@ from pyspark.sql import types as T
 from tapework.functions.schemas import TABLES, Table
 
 
+#: The JVM never compiles a method of more bytes than this. Wide projections made into one larger method would be interpreted for every row; beyond this limit Spark splits them.
+COMPILED_METHOD = "8000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", COMPILED_METHOD)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
