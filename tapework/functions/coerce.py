@@ -1,4 +1,4 @@
-"""How single values are read: from text, and from the variants of an event."""
+"""How single values are read: from text, from variants, and from the marked texts of an event."""
 
 from __future__ import annotations
 
@@ -14,8 +14,8 @@ def decimal_trunc18(text: Column) -> Column:
     """decimal(38,18) of a plain decimal number, cut off after 18 places; null for anything else and for more than 20 whole digits."""
     built = F.regexp_replace(text, DECIMAL, "${sign}0${whole}.${long}${short}")
     long = F.when(text.rlike(DECIMAL) & text.rlike(r"^-?[.]?[0-9]"), built.try_cast("decimal(38,18)"))
-    # Up to 19 characters there is nothing to cut off, and a cast accepts the same texts; most values take this way, which has no patterns.
-    short = (F.length(text) <= 19) & F.translate(text, "0123456789", "").isin("", ".", "-", "-.")
+    # Up to 19 characters there is nothing to cut off, and a cast accepts the same texts; most values take this way, which builds no text.
+    short = (F.length(text) <= 19) & text.rlike(r"^-?[0-9]*[.]?[0-9]*\z")
     return F.when(short, text.try_cast("decimal(38,18)")).otherwise(long)
 
 
@@ -59,26 +59,53 @@ def text_of(v: Column) -> Column:
     return F.when(present(v), F.try_variant_get(v, "$", "string"))
 
 
-def read(v: Column, rule: str, spot: bool, received_at: Column, token: tuple[Column, Column, Column | None] | None = None) -> Column:
-    """The value of a variant by a rule of the table registry; spot and futures rules differ for decimals and times. token: its text, whether it is quoted, and its integer, where at hand."""
-    text, is_quoted, number = token or (text_of(v), quoted(v), None)
+#: Stands before every quoted value of a marked JSON text, so that a value read as text still tells whether it was quoted.
+MARK = "~"
+_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+
+
+def marked(json: Column) -> Column:
+    """A JSON object's text with MARK inside each quoted value, keys as they are.
+
+    A colon and a quote begin a value, unless the quote ends a text whose last character is a colon. Where that may be, or where there is space around colons, strings are told apart one by one.
+    """
+    every = F.regexp_replace(json, f'"({_STRING})"', f'"{MARK}$1"')
+    exact = F.regexp_replace(every, rf'(?<!\\)"{MARK}({_STRING})"(\s*+:)', '"$1"$2')
+    return F.when(json.rlike(r':(?:\s|"[,:\]}\s])'), exact).otherwise(F.replace(json, F.lit(':"'), F.lit(f':"{MARK}')))
+
+
+def unquoted(value: Column) -> Column:
+    """The text of a marked value that was quoted; null for others."""
+    return F.when(F.startswith(value, F.lit(MARK)), F.substring(value, 2, 1 << 30))
+
+
+def unmarked(value: Column) -> Column:
+    """The text of a marked value, quoted or bare."""
+    return F.coalesce(unquoted(value), value)
+
+
+def read(value: Column, rule: str, spot: bool, received_at: Column, text: Column, number: Column | None = None) -> Column:
+    """A marked value by a rule of the table registry; spot and futures rules differ for decimals and times. text: what it holds, of decimals and strings only if quoted; number: its integer, where at hand.
+
+    For j the value is a variant.
+    """
     if rule == "s":
-        return F.when(is_quoted, text).otherwise("")
+        return F.coalesce(text, F.lit(""))
     if rule == "d":
-        decimal = F.when(is_quoted, decimal_trunc18(text))
+        decimal = decimal_trunc18(text)
         return F.coalesce(decimal, F.lit(0).cast("decimal(38,18)")) if spot else decimal
     if rule == "u":
         return u64_or_zero(text)
     if rule == "i":
         return i64_or_zero(text)
     if rule in ("oi", "st"):
-        return F.when(present(v), i64_or_zero(text).try_cast("int"))
+        return F.when(value.isNotNull(), i64_or_zero(text).try_cast("int"))
     if rule in ("b0", "b1"):
-        return F.when(~is_quoted & text.isin("true", "false"), text == "true").otherwise(rule == "b1")
+        return F.when(value.isin("true", "false"), value == "true").otherwise(rule == "b1")
     if rule == "t":
         return millis_or(i64_or_zero(text) if number is None else number, received_at, received_at if spot else epoch())
     if rule == "j":
-        return F.when(present(v), F.to_json(v)).otherwise("[]")
+        return F.when(present(value), F.to_json(value)).otherwise("[]")
     raise ValueError(f"unknown rule {rule}")
 
 
