@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tapework.functions.schemas import SCHEMAS
 from tapework.sources.files import absolute, copied, deleted, exists, footers, refuse_errors, renamed
-from tapework.sources.scans import inventory, is_source, partition_hour, partition_prefix, placed, plain_path, scan_table, table_of
+from tapework.sources.scans import inventory, is_source, partition_hour, partition_prefix, place_of, plain_path, scan_table, table_of
 
 MINIMUM_FILES, SMALL_FILES, SMALL_MIB, SETTLE_MINUTES, LOOKBACK_HOURS = 20, 10, 8, 10, 48
 SORT_KEYS = ("symbol", "event_time", "observed_at", "received_at")
@@ -140,25 +140,27 @@ def outputs(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(place) if exists(spark, place) else spark.createDataFrame([], schema)
 
 
-def _sources(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
-    rows = placed(spark.read.schema(SCHEMAS[table]).parquet(*paths))
-    return rows.withColumn("partition", partition_id(partition_prefix(F.col("_metadata.file_path"))))
+def _sources(spark: SparkSession, table: str, files: DataFrame) -> DataFrame:
+    """The rows of source files (path, partition and others, of one run) with what files has beside path, and market, date and hour. These are found once for each file and joined to its rows."""
+    rows = spark.read.schema(SCHEMAS[table]).parquet(*[r.path for r in files.select("path").collect()])
+    places = files.select(plain_path(F.col("path")).alias("__path"), *[c for c in files.columns if c != "path"], *place_of(F.col("path")))
+    return rows.withColumn("__path", plain_path(F.col("_metadata.file_path"))).join(F.broadcast(places), "__path").drop("__path")
 
 
 def write_version(spark: SparkSession, root: str, table: str, version: str, read: DataFrame, most_bytes: int) -> None:
     """Writes a version of the partitions in read (prefix, partition, path, file_bytes, earlier): each sorted and one file; one of more than most_bytes is cut into ranges of about that size."""
     sized = read.groupBy("partition").agg(F.sum("file_bytes").alias("bytes"), F.max("earlier").alias("earlier"))
     for large in (False, True):
-        mine = sized.filter((F.col("bytes") > most_bytes) == F.lit(large))
+        # Each partition has a place of its own: dealt by hash, some would share a task while others stood empty.
+        mine = sized.filter((F.col("bytes") > most_bytes) == F.lit(large)).withColumn("place", F.row_number().over(W.orderBy("partition")) - 1)
         n = mine.agg(F.sum(F.ceil(F.col("bytes") / most_bytes))).first()[0]
         if not n:
             continue
-        paths = [r.path for r in read.filter("earlier IS NULL").join(mine.select("partition"), "partition").select("path").collect()]  # of the partitions of one run
-        rows = _sources(spark, table, paths)
-        again = mine.filter("earlier IS NOT NULL").select("partition", F.col("earlier").alias("version"))
-        rows = outputs(spark, root, table).join(again, ["version", "partition"], "left_semi").drop("version").unionByName(rows)
+        rows = _sources(spark, table, read.filter("earlier IS NULL").join(mine.select("partition", "place"), "partition").select("path", "partition", "place"))
+        again = mine.filter("earlier IS NOT NULL").select("partition", F.col("earlier").alias("version"), "place")
+        rows = outputs(spark, root, table).join(F.broadcast(again), ["version", "partition"]).drop("version").unionByName(rows)
         keys = [k for k in SORT_KEYS if k in rows.columns] if "symbol" in rows.columns else []
-        out = resorted(rows, BY, int(n)) if large else rows.repartition(int(n), *BY).sortWithinPartitions(*BY, *keys)
+        out = resorted(rows.drop("place"), BY, int(n)) if large else rows.repartitionById(int(n), "place").sortWithinPartitions(*BY, *keys).drop("place")
         out.write.options(**LAYOUT).mode("append").partitionBy(*BY).parquet(_home(root, "data", f"table={table}", f"version={version}"))
 
 
@@ -254,7 +256,7 @@ def live(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table's rows as they count: the output of the records in force and the sources that no record has consumed, at any moment of a compaction. market, date and hour come from the path."""
     recorded = records(spark, root, table)
     force = newest(recorded).select("version", "partition")
-    compacted = outputs(spark, root, table).join(force, ["version", "partition"], "left_semi").drop("version", "partition")
+    compacted = outputs(spark, root, table).join(F.broadcast(force), ["version", "partition"], "left_semi").drop("version", "partition")
     try:
         sources = scan_table(spark, root, table)
     except AnalysisException as e:

@@ -26,7 +26,9 @@ def write_table(rows: DataFrame, path: str, mode: str = "append", name: str | No
         rows = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SCHEMAS[name]], "target_market")
     seen = Observation()
     out = rows.withColumns({"market": F.col("target_market"), "date": F.date_format(hour, "yyyy-MM-dd"), "hour": F.date_format(hour, "HH")}).drop("target_market")
-    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).partitionBy("market", "date", "hour").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(path)
+    # Rows of an hour come together first, and a large hour is cut: else each task would leave a small file in each hour.
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", "market", "date", "hour")
+    out.write.mode(mode).partitionBy("market", "date", "hour").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(path)
     return seen.get["rows"]
 
 

@@ -293,9 +293,10 @@ def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def c10_compacted_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A store that is compacted, gets more files before its sources are retired, and is compacted and retired again: live rows of each hour, its files and the times it was compacted."""
     root, rows, now = scratch(spark), _trades(spark, sf_dir), dt.datetime(2030, 1, 1)
+    number = F.col("trade_id").cast("bigint")
     for k in (0, 1):
         for j in (0, 1):
-            store.write_table(rows.filter((F.col("trade_id") % 2 == k) & (F.floor(F.col("trade_id") / 2) % 2 == j)), f"{root}/batch={2 * k + j}/trades", name="trades")
+            store.write_table(rows.filter(number % 4 == 2 * j + k), f"{root}/batch={2 * k + j}/trades", name="trades")
         plan = compact.candidates(scans.inventory(spark, root), now, minimum_files=1, lookback_hours=24 * 365 * 60)
         compact.compact_table(spark, plan, "trades", root)
     compact.retire(spark, root)

@@ -11,18 +11,28 @@ from pyspark.sql import functions as F
 from tapework.functions.schemas import RAW, SCHEMAS, SNAPSHOT
 
 #: Two layouts: segments in <root>/<exchange>/<market>/<table>/YYYY-MM-DD/HH, and what the sinks write: <root>[/batch=N]/<table>/market=M/date=YYYY-MM-DD/hour=HH.
-HOUR = r"/(?:date=(?=[^/]+/hour=))?([0-9]{4}-[0-9]{2}-[0-9]{2})/(?:hour=)?([0-9]{2})/[^/]+$"
-SEGMENT_PLACE, SINK_PLACE = r"([^/=]+)/([^/=]+)/[0-9-]{10}/[0-9]{2}/[^/]+$", r"([^/=]+)/market=([^/]+)/date=[^/]+/hour=[^/]+/[^/]+$"
+#: The patterns are for the last names of a path, four for the hour and five for the others, and hold from their start: a search through a whole path takes far longer than a row to be read.
+HOUR = r"^[^/]*/(?:date=(?=[^/]+/hour=))?([0-9]{4}-[0-9]{2}-[0-9]{2})/(?:hour=)?([0-9]{2})/[^/]+$"
+SEGMENT_PLACE, SINK_PLACE = r"^(?:[^/]*=)?([^/=]+)/([^/=]+)/[0-9-]{10}/[0-9]{2}/[^/]+$", r"^(?:[^/]*=)?([^/=]+)/market=([^/]+)/date=[^/]+/hour=[^/]+/[^/]+$"
+
+
+def _last(path: Column, names: int) -> Column:
+    return F.substring_index(path, "/", -names)
+
+
+def _place(path: Column, segment: int, sink: int) -> Column:
+    path = _last(path, 5)
+    return F.coalesce(F.nullif(F.regexp_extract(path, SEGMENT_PLACE, segment), F.lit("")), F.regexp_extract(path, SINK_PLACE, sink))
 
 
 def market_of(path: Column) -> Column:
     """The market in a file's path; an empty text without one."""
-    return F.coalesce(F.nullif(F.regexp_extract(path, SEGMENT_PLACE, 1), F.lit("")), F.regexp_extract(path, SINK_PLACE, 2))
+    return _place(path, 1, 2)
 
 
 def table_of(path: Column) -> Column:
     """The table in a file's path; an empty text without one."""
-    return F.coalesce(F.nullif(F.regexp_extract(path, SEGMENT_PLACE, 2), F.lit("")), F.regexp_extract(path, SINK_PLACE, 1))
+    return _place(path, 2, 1)
 
 
 def raw_payloads(spark: SparkSession, path: str, streaming: bool = False, format: str = "json") -> DataFrame:
@@ -43,7 +53,12 @@ def snapshots(spark: SparkSession, root: str) -> DataFrame:
 def placed(df: DataFrame) -> DataFrame:
     """Rows of segment files with market, date and hour from each one's path."""
     path = F.col("_metadata.file_path")
-    return df.select("*", market_of(path).alias("market"), F.regexp_extract(path, HOUR, 1).alias("date"), F.regexp_extract(path, HOUR, 2).alias("hour"))
+    return df.select("*", *place_of(path))
+
+
+def place_of(path: Column) -> list[Column]:
+    """market, date and hour in a file's path."""
+    return [market_of(path).alias("market"), F.regexp_extract(_last(path, 4), HOUR, 1).alias("date"), F.regexp_extract(_last(path, 4), HOUR, 2).alias("hour")]
 
 
 def hour_places(hours: list[str], table: str = "*", market: str = "*", exchange: str = "*") -> list[str]:
@@ -99,5 +114,6 @@ def partition_prefix(path: Column) -> Column:
 
 
 def partition_hour(path: Column) -> Column:
+    path = _last(path, 4)
     text = F.concat_ws(" ", F.regexp_extract(path, HOUR, 1), F.regexp_extract(path, HOUR, 2))
     return F.when(path.rlike(HOUR), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH")))
