@@ -38,6 +38,13 @@ def test_hours_are_compacted_by_a_task_each(spark, tmp_path):
     assert live.exceptAll(want).isEmpty() and live.count() == 300
 
 
+def test_no_pattern_searches_a_whole_path_for_a_row(spark, tmp_path):
+    root = str(tmp_path / "root")
+    store.write_table(trades(spark, 2), f"{root}/trades", name="trades")
+    plan = scans.scan_table(spark, root, "trades")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == plan.count("regexp_extract(substring_index(") > 0
+
+
 PATHS = {
     "x/spot/trades/2026-08-04/01/segment-1.parquet": ("spot", "trades", "2026-08-04", "01"), "/2026-08-04/01/f": ("", "", "2026-08-04", "01"), "2026-08-04/01/f": ("", "", "", ""), "a=b/trades/2026-08-04/01/f": ("b", "trades", "2026-08-04", "01"),
     "file:/r/k=v/trades/market=usdm/date=2026-08-04/hour=23/part-0.parquet": ("usdm", "trades", "2026-08-04", "23"), "trades/market=m/date=2026-08-04/hour=23/p": ("m", "trades", "2026-08-04", "23"), "r/batch=3/t/market=m/date=odd/hour=2/p": ("m", "t", "", ""),
