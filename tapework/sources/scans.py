@@ -62,13 +62,17 @@ def place_of(path: Column) -> list[Column]:
 
 
 def hour_places(hours: list[str], table: str = "*", market: str = "*", exchange: str = "*") -> list[str]:
-    """The folders below a root that hold these hours (YYYY-MM-DD/HH), in both layouts: a few patterns for each day, so that what stands above it is listed a few times only."""
-    days: dict[str, list[str]] = {}
+    """The folders below a root that hold these hours (YYYY-MM-DD/HH), in both layouts: a few patterns for all days with the same hours, so that what stands above them is listed a few times only, however many days there are."""
+    days: dict[str, set[str]] = {}
     for day, hour in (h.split("/") for h in hours):
-        days.setdefault(day, []).append(hour)
-    places = []
+        days.setdefault(day, set()).add(hour)
+    alike: dict[tuple[str, ...], list[str]] = {}
     for day, own in days.items():
-        hour = own[0] if len(own) == 1 else f"{{{','.join(sorted(set(own)))}}}"
+        alike.setdefault(tuple(sorted(own)), []).append(day)
+    either = lambda names: names[0] if len(names) == 1 else f"{{{','.join(names)}}}"
+    places = []
+    for own, some in alike.items():
+        hour, day = either(own), either(some)
         places.append(f"{exchange}/{market}/{table}/{day}/{hour}")
         places += [f"{batch}{table}/market={market}/date={day}/hour={hour}" for batch in ("", "batch=*/")]
     return places

@@ -1,8 +1,10 @@
 """What the store's cost grows with: files, tasks, patterns and what is done for each row."""
 
+import datetime as dt
 import re
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tapework.functions.schemas import SCHEMAS
@@ -57,3 +59,26 @@ def test_places_of_odd_paths(spark):
     rows = spark.createDataFrame([(p,) for p in PATHS], "path string").select("path", scans.market_of(path), scans.table_of(path), *scans.place_of(path)[1:], scans.partition_hour(path).isNotNull())
     assert {r[0]: tuple(r[1:5]) for r in rows.collect()} == PATHS
     assert all(r[5] == (r[3] != "") for r in rows.collect())
+
+
+@pytest.mark.parametrize("hours", [24 * 400 + 5, 30, 1])
+def test_patterns_do_not_multiply_with_days(hours):
+    now = dt.datetime(2026, 8, 4, 5)
+    wanted = [f"{now - dt.timedelta(hours=k):%Y-%m-%d/%H}" for k in range(hours)]
+    places = scans.hour_places(wanted)
+    assert len(places) <= 9
+    named = {f"{d}/{h}" for p in places if p.startswith("*/*/*/") for days, own in [p.removeprefix("*/*/*/").split("/")] for d in days.strip("{}").split(",") for h in own.strip("{}").split(",")}
+    assert named == set(wanted)
+
+
+def test_days_of_both_layouts_are_listed_together(spark, tmp_path):
+    start = dt.datetime(2026, 1, 1)
+    for k in range(0, 60 * 24, 12):
+        at = start + dt.timedelta(hours=k)
+        for place in (f"x/spot/trades/{at:%Y-%m-%d}/{at:%H}/segment-1.parquet", f"trades/market=spot/date={at:%Y-%m-%d}/hour={at:%H}/part-1.parquet", f"batch=3/trades/market=spot/date={at:%Y-%m-%d}/hour={at:%H}/part-1.parquet"):
+            (Path(tmp_path) / place).parent.mkdir(parents=True)
+            (Path(tmp_path) / place).write_bytes(b"x")
+    now = dt.datetime(2026, 2, 20, 12)
+    found = scans.inventory(spark, str(tmp_path), now, 24 * 30 + 6)
+    assert len(found.inputFiles()) == 3 * 61
+    assert {r.h for r in found.select(scans.partition_hour(F.col("path")).alias("h")).collect()} == {now - dt.timedelta(hours=12 * k) for k in range(61)}
