@@ -58,7 +58,8 @@ def n5_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id")
+    # Dealt over all tasks, as lines are: a table of a few row groups would be read, and its payloads parsed, by as many tasks.
+    e = table(spark, sf_dir, "events").select("event_id").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     k = F.col("event_id") % 7
     # Broken in four ways: cut off, with text behind, two in a row, two with a comma.
     broken = F.element_at(F.array(*[F.lit(x) for x in ('{"e":"tra', '{"e":"trade"} junk', '{"e":"trade"}{"e":"trade"}', '{"e":"trade"},{"e":"trade"}')]), (F.col("event_id") % 4 + 1).cast("int"))
@@ -266,7 +267,9 @@ STORED_SQL = "SELECT event_id, event_id // 3600 AS hour, CASE event_id % 7 WHEN
 def s2_stored_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, found = _stored(spark, sf_dir), None
     for name in ("trades", "average_prices", "futures_aggregate_trades"):
-        rows = scans.scan_table(spark, root, name).groupBy(F.lit(name).alias("table"), "symbol", "market", "date", "hour").agg(F.count(F.lit(1)).alias("n_rows"))
+        # Counted by file first, so that a place is found once for each file and not for each row.
+        files = scans.table_files(spark, root, name).groupBy(F.col("_metadata.file_path").alias("file"), "symbol").agg(F.count(F.lit(1)).alias("n"))
+        rows = files.select("symbol", "n", *scans.place_of(F.col("file"))).groupBy(F.lit(name).alias("table"), "symbol", "market", "date", "hour").agg(F.sum("n").alias("n_rows"))
         found = rows if found is None else found.unionByName(rows)
     return found
 

@@ -78,12 +78,25 @@ def hour_places(hours: list[str], table: str = "*", market: str = "*", exchange:
     return places
 
 
-def scan_table(spark: SparkSession, root: str, table: str, market: str = "*", hours: list[str] | None = None, exchange: str = "*") -> DataFrame:
-    """A table's segments and what the sinks wrote of it; hours as YYYY-MM-DD/HH are turned into paths, so that others are never listed. market, date and hour come from the path."""
-    places = hour_places(hours or ["*/*"], table, market, exchange)
+def table_places(table: str, market: str = "*", exchange: str = "*") -> list[str]:
+    """The folders of a table's days below a root, in both layouts."""
+    return [f"{exchange}/{market}/{table}/*", *[f"{batch}{table}/market={market}/date=*" for batch in ("", "batch=*/")]]
+
+
+def table_files(spark: SparkSession, root: str, table: str, market: str = "*", hours: list[str] | None = None, exchange: str = "*") -> DataFrame:
+    """A table's segments and what the sinks wrote of it, with its registered columns; `_metadata.file_path` names each row's file.
+
+    Hours as YYYY-MM-DD/HH are turned into paths, so that others are never listed. Without them days are, and what is below each is listed by one task: named hour by hour, every folder would be a task.
+    """
+    places = hour_places(hours, table, market, exchange) if hours else table_places(table, market, exchange)
     # Braces make one path of all: only one of the places needs to exist.
     reader = spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    return placed(reader.parquet(f"{root}/{{{','.join(places)}}}"))
+    return reader.parquet(f"{root}/{{{','.join(places)}}}")
+
+
+def scan_table(spark: SparkSession, root: str, table: str, market: str = "*", hours: list[str] | None = None, exchange: str = "*") -> DataFrame:
+    """The rows of table_files with market, date and hour from each one's path. What counts many rows does so by file first and finds the places behind that."""
+    return placed(table_files(spark, root, table, market, hours, exchange))
 
 
 def inventory(spark: SparkSession, root: str, now: dt.datetime | None = None, lookback_hours: int | None = None) -> DataFrame:
